@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,13 +58,21 @@ def current_suppliers(dim_supplier: DataFrame, pick: str = "all") -> DataFrame:
     return current.select("menu_item_id", "supplier_sk")
 
 
-def fact_waste(silver: DataFrame, dims: Dims, pick: str = "all") -> DataFrame:
-    """Rows that have a reason. The supplier key may be null: not every item has one."""
+def fact_waste(
+    silver: DataFrame, dims: Dims, pick: str = "all",
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """Rows that have a reason. The supplier key may be null: not every item has one.
+
+    ``stage`` may store the picked suppliers, so that their size is known to the join.
+    """
     keyed = _with_keys(silver.where("waste_reason is not null"), dims)
     keyed = _with_key(
         keyed, dims["dim_waste_reason"], "waste_reason", "waste_reason_sk", "waste_reason_name"
     )
     suppliers = current_suppliers(dims["dim_supplier"], pick)
+    if pick != "all":
+        suppliers = stage(suppliers)
     keyed = keyed.join(suppliers, "menu_item_id", "left")
     keyed = keyed.withColumn("waste_sk", surrogate_key(*GRAIN, "supplier_sk"))
     return keyed.select(*FACTS["fact_waste"].names)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -163,9 +164,11 @@ def lookups_fit_broadcast(spark: SparkSession, paths: Paths) -> bool:
     return all(files.size_of(spark, gold_path(paths.gold, d)) <= limit_bytes for d in DIMS)
 
 
-def build_fact(name: str, source: DataFrame, tables: dict[str, DataFrame], pick: str) -> DataFrame:
+def build_fact(
+    name: str, source: DataFrame, tables: Mapping[str, DataFrame], pick: str, stage: Scratch
+) -> DataFrame:
     if name == "fact_waste":
-        return facts.fact_waste(source, tables, pick)
+        return facts.fact_waste(source, tables, pick, stage)
     return {
         "fact_production": facts.fact_production,
         "fact_consumption": facts.fact_consumption,
@@ -179,13 +182,18 @@ def run_facts(spark: SparkSession, paths: Paths, pick: str = "all") -> None:
     source = read_silver(spark, paths)
     tables = {name: read_dim(spark, paths, name) for name in DIMS}
     scattered = not lookups_fit_broadcast(spark, paths)
-    for name in FACTS:
-        checks = quality.fact_checks(name)
-        publish(
-            spark, build_fact(name, source, tables, pick), gold_path(paths.gold, name),
-            lambda df, checks=checks, name=name: quality.gate(df, checks, "fail", name),
-            PARTITIONS, rebalance=scattered or name == "fact_waste_summary",
-        )
+    scratch = Scratch(spark)
+    try:
+        for name in FACTS:
+            checks = quality.fact_checks(name)
+            publish(
+                spark, build_fact(name, source, tables, pick, scratch),
+                gold_path(paths.gold, name),
+                lambda df, checks=checks, name=name: quality.gate(df, checks, "fail", name),
+                PARTITIONS, rebalance=scattered or name == "fact_waste_summary",
+            )
+    finally:
+        scratch.drop()
 
 
 def run(

@@ -182,7 +182,7 @@ def _as_of(w: Workspace) -> DataFrame:
 
 
 def _best_quality(w: Workspace) -> DataFrame:
-    return facts.fact_waste(w.silver(), w, "best_quality")
+    return facts.fact_waste(w.silver(), w, "best_quality", w.stage)
 
 
 def _mart(function: Callable, *args, **kwargs) -> Callable[[Workspace], DataFrame]:

@@ -105,7 +105,7 @@ class Workspace(Mapping):
         if name in DIMS:
             return getattr(dims, name)(self.silver())
         if name in FACTS:
-            return build_fact(name, self.silver(), self, "all")
+            return build_fact(name, self.silver(), self, "all", self.stage)
         raise KeyError(name)
 
     def __getitem__(self, name: str) -> DataFrame:

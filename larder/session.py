@@ -9,12 +9,15 @@ def build_session(app: str = "larder", master: str | None = None, **conf: str) -
     """A session with the settings every stage is written for.
 
     The number of shuffle partitions is left to the cluster's own setting; adaptive
-    execution coalesces small ones and splits skewed ones.
+    execution coalesces small ones and splits skewed ones. The method size limit is the one
+    of the JVM's compiler: the wide cleaning projections would otherwise be generated as one
+    method too large to be compiled, and run interpreted.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
     )
