@@ -1,0 +1,237 @@
+import csv
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from larder.operators import clean
+from larder.plans import batch
+from larder.schemas import DIMS, FACTS, GOLD, SILVER, SOURCES
+from larder.sources import bronze, catalog, files, tables
+
+RUN = date(2025, 3, 1)
+
+
+def write_csv(folder, source, *rows):
+    with open(folder / SOURCES[source].file, "w", newline="") as out:
+        writer = csv.DictWriter(out, SOURCES[source].columns)
+        writer.writeheader()
+        writer.writerows(rows)
+
+
+def production_row(**changes):
+    return {
+        "date": "2025-01-01", "location_id": " LOC001", "location_name": "Campus Cafe",
+        "meal_period": "Lunch", "menu_item_id": "MI001\t", "menu_item_name": 'Dal "special", rice',
+        "category": "Main Course", "quantity_prepared": "100", "unit": "portion",
+        "cost_per_unit": "50.0", "planned_quantity": "110", "actual_served_estimate": "90",
+        **changes,
+    }
+
+
+def waste_row(**changes):
+    row = {k: v for k, v in production_row().items() if k in SOURCES["waste_logs"].columns}
+    return {**row, "quantity_wasted": "20", "waste_reason": "Spoilage", "waste_stage": "Storage", **changes}
+
+
+def supplier_row(**changes):
+    return {
+        "supplier_record_id": "R1", "supplier_id": "SUP001", "menu_item_id": "MI001",
+        "supplier_name": "Fresh Farms", "supplier_city": "Pune", "supplier_cost": "1.0",
+        "lead_time_days": "3", "quality_score": "4.5", "effective_from": "2024-01-01",
+        "effective_to": "", "is_current": "1", **changes,
+    }
+
+
+def write_feeds(folder, production=(), waste=(), suppliers=()):
+    folder.mkdir(exist_ok=True)
+    write_csv(folder, "production_logs", *(production or [
+        production_row(), production_row(date="2025-02-01"),
+        production_row(menu_item_id="MI002", category="salads", menu_item_name="Greens"),
+    ]))
+    write_csv(folder, "waste_logs", *(waste or [
+        waste_row(), waste_row(date="2025-02-01", quantity_wasted="60"),
+        waste_row(menu_item_id="MI999"),
+    ]))
+    write_csv(folder, "menu_data", *[
+        {"menu_item_id": f"MI00{i}", "menu_item_name": "x", "category": "c", "sub_category": "s",
+         "veg_flag": "Yes", "standard_portion_size": "1", "cost_per_unit": "5",
+         "shelf_life_hours": "24", "prep_complexity": "Low"} for i in (1, 2)
+    ])
+    write_csv(folder, "location_data", {
+        "location_id": "LOC001", "location_name": "Campus Cafe", "city": "Bangalore",
+        "region": "South", "location_type": "Campus", "capacity": "500",
+        "open_date": "2020-01-01", "manager_name": "N/A", "storage_rating": "A",
+    })
+    write_csv(folder, "supplier_data", *(suppliers or [supplier_row()]))
+
+
+@pytest.fixture
+def paths(tmp_path):
+    write_feeds(tmp_path / "raw")
+    return batch.Paths(str(tmp_path / "raw"), str(tmp_path / "lake"))
+
+
+def contents(df):
+    kept = [c for c in df.columns if c not in ("batch_id", "ingestion_timestamp")]
+    return sorted(map(str, df.select(*sorted(kept)).collect()))
+
+
+def test_csv_is_text_with_missing_values(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_text('id,a b,c\n1,"x ""y"", z",007\n2, NA ,NA\n3,,"null"\n\n4,nan,None \n')
+    df = bronze.read_csv(spark, str(path))
+    assert df.dtypes == [("id", "string"), ("a b", "string"), ("c", "string")]
+    assert [tuple(r) for r in df.orderBy("id").collect()] == [
+        ("1", 'x "y", z', "007"), ("2", " NA ", None), ("3", None, None), ("4", None, "None "),
+    ]
+
+
+def test_missing_key_column_is_refused(spark, tmp_path):
+    (tmp_path / SOURCES["menu_data"].file).write_text("menu_item_name\nx\n")
+    with pytest.raises(ValueError, match="menu_item_id"):
+        bronze.read_feed(spark, str(tmp_path), "menu_data")
+
+
+def test_bronze_lands_per_load_date_and_reruns(spark, paths):
+    for day in (RUN, date(2025, 3, 2), RUN):
+        batch.run_bronze(spark, paths, day, "b1", "t1")
+    every = bronze.read_bronze(spark, paths.bronze, "production_logs")
+    assert every.count() == 6
+    one_day = bronze.read_bronze(spark, paths.bronze, "production_logs", RUN)
+    row = one_day.where("menu_item_id = 'MI001' and date = '2025-01-01'").first()
+    assert (row.location_id, row.menu_item_name) == ("LOC001", 'Dal "special", rice')
+    assert (row.batch_id, row.ingestion_timestamp) == ("b1", "t1")
+    assert row.source_file == SOURCES["production_logs"].file
+    scan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in scan
+
+
+def test_bronze_gate_keeps_bad_feeds_out(spark, paths, tmp_path):
+    write_feeds(tmp_path / "raw", production=[production_row(location_id="")])
+    with pytest.raises(ValueError, match=r"\[production_logs\]: location_id_not_null — 1 rows"):
+        batch.run_bronze(spark, paths, RUN)
+    assert not files.exists(spark, bronze.bronze_path(paths.bronze, "production_logs"))
+
+
+def test_empty_feed_is_refused(spark, paths, tmp_path):
+    write_csv(tmp_path / "raw", "production_logs")
+    with pytest.raises(ValueError, match="not_empty"):
+        batch.run_bronze(spark, paths, RUN)
+
+
+def test_whole_run_twice_gives_the_same_tables(spark, paths):
+    first = {n: contents(df) for n, df in batch.run(spark, paths, RUN).items()}
+    second = {n: contents(df) for n, df in batch.run(spark, paths, RUN).items()}
+    assert first == second
+    assert set(first) == set(GOLD)
+    assert {n: len(r) for n, r in first.items()} == {
+        "dim_date": 365, "dim_category": 2, "dim_meal_period": 4, "dim_waste_reason": 6,
+        "dim_location": 1, "dim_menu": 2, "dim_supplier": 1, "fact_production": 3,
+        "fact_waste": 2, "fact_consumption": 3, "fact_waste_summary": 2,
+    }
+    silver = batch.read_silver(spark, paths)
+    assert silver.columns == SILVER.names
+    assert silver.agg(F.sum("waste_cost")).first()[0] == 4000.0
+    leftovers = [p.name for p in __import__("pathlib").Path(paths.root).rglob("_staging*")]
+    assert leftovers == []
+
+
+def test_later_run_keeps_other_months_and_history(spark, paths, tmp_path):
+    batch.run(spark, paths, RUN)
+    write_feeds(
+        tmp_path / "raw",
+        production=[production_row(date="2025-02-01", quantity_prepared="200")],
+        waste=[waste_row(date="2025-02-01", quantity_wasted="10")],
+        suppliers=[supplier_row(supplier_record_id="R2", quality_score="3.0", effective_from="2025-03-05")],
+    )
+    gold = batch.run(spark, paths, date(2025, 3, 5))
+    silver = batch.read_silver(spark, paths)
+    found = {(r.month, r.quantity_prepared) for r in silver.collect()}
+    assert found == {(1, 100.0), (2, 200.0)}
+    spans = sorted((r.effective_date, r.expiry_date, r.is_current) for r in gold["dim_supplier"].collect())
+    assert spans == [("2025-03-01", "2025-03-04", False), ("2025-03-05", "9999-12-31", True)]
+
+
+def test_silver_gate_leaves_the_published_table(spark, paths, tmp_path):
+    batch.run_bronze(spark, paths, RUN)
+    batch.run_silver(spark, paths, RUN)
+    before = contents(batch.read_silver(spark, paths))
+    write_feeds(tmp_path / "raw", waste=[waste_row(quantity_wasted="101")])
+    batch.run_bronze(spark, paths, RUN)
+    with pytest.raises(ValueError, match=r"\[silver\]: waste_lte_prepared — 1 rows"):
+        batch.run_silver(spark, paths, RUN)
+    assert contents(batch.read_silver(spark, paths)) == before
+
+
+def test_facts_are_partitioned_and_pruned(spark, paths):
+    gold = batch.run(spark, paths, RUN)
+    for name in FACTS:
+        plan = gold[name].where("year = 2025 and month = 2")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(year" in plan, name
+    with pytest.raises(ValueError, match="missing partition columns: month"):
+        tables.publish(spark, gold["fact_waste"].drop("month"), paths.gold + "/x", None, ["year", "month"])
+
+
+def test_first_read_of_a_dimension_is_empty(spark, paths):
+    empty = batch.read_dim(spark, paths, "dim_location")
+    assert empty.count() == 0 and empty.columns == DIMS["dim_location"].names
+
+
+def test_only_a_missing_table_counts_as_absent(spark, tmp_path):
+    assert tables.read_if_present(spark, str(tmp_path / "none"), DIMS["dim_menu"]) is None
+    with pytest.raises((AnalysisException, Exception)):
+        tables.read_if_present(spark, "nosuchscheme://x/y", DIMS["dim_menu"])
+
+
+def test_interrupted_swap_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    df = spark.createDataFrame([("k", "n")], DIMS["dim_category"])
+    tables.publish(spark, df, path)
+    tables.publish(spark, tables.read_table(spark, path, df.schema), path)
+    files.delete(spark, path)
+    assert tables.read_if_present(spark, path, df.schema).first().category_sk == "k"
+
+
+def test_sql_over_registered_tables(spark, paths):
+    batch.run(spark, paths, RUN)
+    names = catalog.register_tables(spark, paths.gold, "kitchen_gold")
+    assert len(names) == len(GOLD)
+    found = catalog.query(
+        spark,
+        "SELECT l.location_name, sum(w.waste_cost) AS cost FROM kitchen_gold.fact_waste w "
+        "JOIN kitchen_gold.dim_location l ON w.location_sk = l.location_sk "
+        "WHERE w.year = :year GROUP BY l.location_name",
+        year=2025,
+    ).collect()
+    assert [tuple(r) for r in found] == [("Campus Cafe", 4000.0)]
+    catalog.register_tables(spark, paths.gold, "kitchen_gold")
+    spark.sql("DROP DATABASE kitchen_gold CASCADE")
+    catalog.register_views({"silver_rows": batch.read_silver(spark, paths)})
+    assert spark.table("silver_rows").count() == 3
+
+
+def test_scattered_lookups_rebalance(spark, paths, conf):
+    batch.run_bronze(spark, paths, RUN)
+    batch.run_silver(spark, paths, RUN)
+    batch.run_dims(spark, paths, (date(2025, 1, 1), date(2025, 12, 31)))
+    batch.run_supplier(spark, paths, RUN)
+    assert batch.lookups_fit_broadcast(spark, paths)
+    conf(spark__sql__autoBroadcastJoinThreshold="10B")
+    assert not batch.lookups_fit_broadcast(spark, paths)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert not batch.lookups_fit_broadcast(spark, paths)
+    batch.run_facts(spark, paths, pick="best_quality")
+    assert batch.read_gold(spark, paths)["fact_waste"].count() == 2
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert files.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_strip_then_clean_on_landed_text(spark, paths):
+    batch.run_bronze(spark, paths, RUN)
+    landed = bronze.read_bronze(spark, paths.bronze, "location_data", RUN)
+    assert landed.first().manager_name is None
+    assert clean.clean_location(landed).count() == 1
