@@ -38,7 +38,14 @@ def to_int(column: str) -> Column:
 
 
 def to_day(column: str) -> Column:
-    return F.try_to_date(F.col(column), "yyyy-MM-dd")
+    """Text of the form 2025-01-31 to a date, anything else to null.
+
+    The form is checked by its length and dashes, so that the cast, which is much faster
+    than a date pattern, does not accept shorter forms.
+    """
+    text = F.col(column)
+    dashes = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when((F.length(text) == 10) & dashes, text.try_cast("date"))
 
 
 def surrogate_key(*columns: Column | str) -> Column:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.text import strip, surrogate_key, to_double, to_int
+from larder.functions.text import strip, surrogate_key, to_day, to_double, to_int
 from larder.operators.clean import keep_first, strip_text
 from larder.schemas import DIMS, OPEN_END, SUPPLIER_COLUMNS, SUPPLIER_TRACKED
 
@@ -36,7 +36,7 @@ def latest_suppliers(records: DataFrame) -> DataFrame:
         typed = flagged.where(F.col("_current") | ~any_current)
     order = []
     if "effective_from" in typed.columns:
-        order.append(F.try_to_date("effective_from", "yyyy-MM-dd").desc_nulls_last())
+        order.append(to_day("effective_from").desc_nulls_last())
     for column in ("ingestion_timestamp", "supplier_record_id"):
         if column in typed.columns:
             order.append(F.col(column).desc_nulls_last())

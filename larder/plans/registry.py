@@ -92,7 +92,7 @@ def _dq_unique(w: Workspace) -> DataFrame:
 
 
 def _doubled_waste(w: Workspace) -> DataFrame:
-    raw = testfeeds.waste_logs(w.spark, w.sf_dir, times=2.0)
+    raw = testfeeds.waste_logs(w.spark, w.sf_dir, w.order_keys(), times=2.0)
     return clean.clean_waste(clean.strip_text(raw))
 
 
@@ -117,7 +117,7 @@ def _dq_silver(w: Workspace) -> DataFrame:
 
 
 def _orphans(w: Workspace) -> DataFrame:
-    raw = testfeeds.production_logs(w.spark, w.sf_dir, status_other_than="P")
+    raw = testfeeds.production_logs(w.spark, w.sf_dir, w.order_keys(), "P")
     production = clean.clean_production(clean.strip_text(raw))
     return silver.orphan_waste(_waste(w).drop(*DETAILS), production)
 

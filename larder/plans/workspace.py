@@ -49,9 +49,14 @@ class Workspace(Mapping):
 
     def raw(self, source: str) -> DataFrame:
         """The padded text of a feed, before landing."""
-        if source == "supplier_data":
-            return testfeeds.supplier_data(self.spark, self.sf_dir)
-        return testfeeds.FEEDS[source](self.spark, self.sf_dir)
+        if source in testfeeds.LOGS:
+            return testfeeds.LOGS[source](self.spark, self.sf_dir, self.order_keys())
+        return testfeeds.MASTERS[source](self.spark, self.sf_dir)
+
+    def order_keys(self) -> DataFrame:
+        return self._table(
+            "order_keys", lambda: testfeeds.order_keys(self.spark, self.sf_dir)
+        )
 
     def _landed(self, raw: DataFrame, source: str, day=testfeeds.SECOND_LOAD) -> DataFrame:
         ready = bronze.with_metadata(

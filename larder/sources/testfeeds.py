@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.schemas import GRAIN, SOURCES
+from larder.schemas import SOURCES
 
 FIRST_LOAD = date(1995, 1, 1)
 SECOND_LOAD = date(1998, 1, 1)
@@ -60,8 +60,8 @@ def menu_item_id(k: Column) -> Column:
     return _code("MI", k, 7)
 
 
-def _sales(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    """Order lines with the log key: day, nation, part and meal."""
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the part of the log key they carry: day, nation and meal."""
     priority = F.substring("o_orderpriority", 1, 1)
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
@@ -71,7 +71,14 @@ def _sales(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
         _mapped(MEAL_OF_PRIORITY, priority).alias("meal_period"),
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return lines.join(orders.join(customers, "c_custkey"), "l_orderkey")
+    return orders.join(customers, "c_custkey").drop("c_custkey")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly if the files give fewer pieces than there are cores; large
+    inputs have more pieces than cores and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,14 +116,17 @@ def _cents(column: Column) -> Column:
     return F.sum(column.cast("decimal(18,4)")).cast("double")
 
 
-def production_logs(spark: SparkSession, sf_dir: str, status_other_than: str | None = None) -> DataFrame:
-    """``status_other_than`` leaves out the orders of one status (the orphan case)."""
+def production_logs(
+    spark: SparkSession, sf_dir: str, orders: DataFrame, status_other_than: str | None = None
+) -> DataFrame:
+    """``orders`` are the stored order keys; ``status_other_than`` leaves out the orders of
+    one status (the orphan case)."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax"
     )
-    sales = _sales(spark, sf_dir, lines)
     if status_other_than:
-        sales = sales.where(F.col("o_orderstatus") != status_other_than)
+        orders = orders.where(F.col("o_orderstatus") != status_other_than)
+    sales = spread(lines).join(orders, "l_orderkey")
     quantity = F.col("l_quantity")
     logs = sales.groupBy("date", "c_nationkey", "l_partkey", "meal_period").agg(
         _cents(quantity).alias("quantity_prepared"),
@@ -134,7 +144,9 @@ def production_logs(spark: SparkSession, sf_dir: str, status_other_than: str | N
     return _as_feed(ready, "production_logs")
 
 
-def waste_logs(spark: SparkSession, sf_dir: str, times: float = 1.0) -> DataFrame:
+def waste_logs(
+    spark: SparkSession, sf_dir: str, orders: DataFrame, times: float = 1.0
+) -> DataFrame:
     """``times`` scales the wasted quantity (the waste-exceeds-prepared case)."""
     lines = (
         table(spark, sf_dir, "lineitem")
@@ -145,7 +157,7 @@ def waste_logs(spark: SparkSession, sf_dir: str, times: float = 1.0) -> DataFram
     )
     share = F.col("l_discount") * (1 + F.col("c_nationkey") % 10)
     wasted = F.col("l_quantity") * F.least(F.lit(1.0), share)
-    events = _sales(spark, sf_dir, lines)
+    events = spread(lines).join(orders, "l_orderkey")
     named = events.join(_parts(spark, sf_dir), "l_partkey").join(_nations(spark, sf_dir), "c_nationkey")
     ready = named.withColumns(
         {
@@ -253,11 +265,7 @@ def supplier_data(spark: SparkSession, sf_dir: str, loaded: date | None = None)
     return _as_feed(records, "supplier_data").drop("_k", "_load")
 
 
-FEEDS = {
-    "production_logs": production_logs,
-    "waste_logs": waste_logs,
-    "menu_data": menu_data,
-    "location_data": location_data,
+LOGS = {"production_logs": production_logs, "waste_logs": waste_logs}
+MASTERS = {
+    "menu_data": menu_data, "location_data": location_data, "supplier_data": supplier_data,
 }
-
-__all__ = ["FEEDS", "FIRST_LOAD", "SECOND_LOAD", "GRAIN", "supplier_data", "table"]

@@ -73,6 +73,15 @@ def paths(tmp_path):
     return batch.Paths(str(tmp_path / "raw"), str(tmp_path / "lake"))
 
 
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """One whole run, shared by tests that do not change its outcome."""
+    folder = tmp_path_factory.mktemp("shared")
+    write_feeds(folder / "raw")
+    paths = batch.Paths(str(folder / "raw"), str(folder / "lake"))
+    return paths, batch.run(spark, paths, RUN)
+
+
 def contents(df):
     kept = [c for c in df.columns if c not in ("batch_id", "ingestion_timestamp")]
     return sorted(map(str, df.select(*sorted(kept)).collect()))
@@ -121,8 +130,9 @@ def test_empty_feed_is_refused(spark, paths, tmp_path):
         batch.run_bronze(spark, paths, RUN)
 
 
-def test_whole_run_twice_gives_the_same_tables(spark, paths):
-    first = {n: contents(df) for n, df in batch.run(spark, paths, RUN).items()}
+def test_whole_run_twice_gives_the_same_tables(spark, lake):
+    paths, gold = lake
+    first = {n: contents(df) for n, df in gold.items()}
     second = {n: contents(df) for n, df in batch.run(spark, paths, RUN).items()}
     assert first == second
     assert set(first) == set(GOLD)
@@ -139,18 +149,23 @@ def test_whole_run_twice_gives_the_same_tables(spark, paths):
 
 
 def test_later_run_keeps_other_months_and_history(spark, paths, tmp_path):
-    batch.run(spark, paths, RUN)
+    batch.run_bronze(spark, paths, RUN)
+    batch.run_silver(spark, paths, RUN)
+    batch.run_supplier(spark, paths, RUN)
     write_feeds(
         tmp_path / "raw",
         production=[production_row(date="2025-02-01", quantity_prepared="200")],
         waste=[waste_row(date="2025-02-01", quantity_wasted="10")],
         suppliers=[supplier_row(supplier_record_id="R2", quality_score="3.0", effective_from="2025-03-05")],
     )
-    gold = batch.run(spark, paths, date(2025, 3, 5))
+    later = date(2025, 3, 5)
+    batch.run_bronze(spark, paths, later)
+    batch.run_silver(spark, paths, later)
+    batch.run_supplier(spark, paths, later)
     silver = batch.read_silver(spark, paths)
     found = {(r.month, r.quantity_prepared) for r in silver.collect()}
     assert found == {(1, 100.0), (2, 200.0)}
-    spans = sorted((r.effective_date, r.expiry_date, r.is_current) for r in gold["dim_supplier"].collect())
+    spans = sorted((r.effective_date, r.expiry_date, r.is_current) for r in batch.read_dim(spark, paths, "dim_supplier").collect())
     assert spans == [("2025-03-01", "2025-03-04", False), ("2025-03-05", "9999-12-31", True)]
 
 
@@ -165,8 +180,8 @@ def test_silver_gate_leaves_the_published_table(spark, paths, tmp_path):
     assert contents(batch.read_silver(spark, paths)) == before
 
 
-def test_facts_are_partitioned_and_pruned(spark, paths):
-    gold = batch.run(spark, paths, RUN)
+def test_facts_are_partitioned_and_pruned(spark, lake):
+    paths, gold = lake
     for name in FACTS:
         plan = gold[name].where("year = 2025 and month = 2")._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(year" in plan, name
@@ -194,8 +209,8 @@ def test_interrupted_swap_is_recovered(spark, tmp_path):
     assert tables.read_if_present(spark, path, df.schema).first().category_sk == "k"
 
 
-def test_sql_over_registered_tables(spark, paths):
-    batch.run(spark, paths, RUN)
+def test_sql_over_registered_tables(spark, lake):
+    paths, _ = lake
     names = catalog.register_tables(spark, paths.gold, "kitchen_gold")
     assert len(names) == len(GOLD)
     found = catalog.query(
