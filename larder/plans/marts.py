@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.measures import (
-    AMOUNT, PERCENT, exact_mean, exact_sum, percent_of, total_of_totals,
+    AMOUNT, PERCENT, exact_mean, percent_of, total_of_totals,
 )
 
 Gold = Mapping[str, DataFrame]
@@ -321,10 +321,3 @@ def root_cause(
 
 def create_root_cause_view(gold: Gold, year: int, name: str = "waste_root_cause", **options) -> None:
     root_cause(gold, year, **options).createOrReplaceTempView(name)
-
-
-__all__ = [
-    "create_root_cause_view", "demand_gap", "demand_gap_literal", "exact_sum", "in_period",
-    "item_totals", "labelled", "mom_by_location", "mom_by_location_literal", "reason_by_meal",
-    "reason_by_meal_literal", "root_cause", "supplier_quality_vs_waste", "top_menu_items",
-]

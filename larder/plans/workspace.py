@@ -34,13 +34,15 @@ class Workspace(Mapping):
         self.stage = Scratch(spark)
         self._stored: dict[str, tuple[str, object]] = {}
 
-    def _table(self, name: str, build: Callable[[], DataFrame], partitioned: bool = False) -> DataFrame:
+    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         with _lock:
             if name not in self._stored:
                 df = build()
                 path = f"{self.stage.folder}/{name}"
-                if partitioned:
-                    write_partitions(df, path, PARTITIONS, rebalance=True)
+                if name == "silver" or name in FACTS:
+                    # Facts over Silver keep its layout; the joins and the summary do not.
+                    rebalance = name in ("silver", "fact_waste_summary")
+                    write_partitions(df, path, PARTITIONS, rebalance)
                 else:
                     df.write.mode("overwrite").parquet(path)
                 self._stored[name] = (path, df.schema)
@@ -77,7 +79,7 @@ class Workspace(Mapping):
         return first.unionByName(second)
 
     def silver(self) -> DataFrame:
-        return self._table("silver", self.build_silver, partitioned=True)
+        return self._table("silver", self.build_silver)
 
     def build_silver(self) -> DataFrame:
         def read(source: str) -> DataFrame:
@@ -116,7 +118,7 @@ class Workspace(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in DIMS and name not in FACTS:
             raise KeyError(name)
-        return self._table(name, lambda: self.build(name), partitioned=name in FACTS)
+        return self._table(name, lambda: self.build(name))
 
     def __iter__(self) -> Iterator[str]:
         return iter([*DIMS, *FACTS])

@@ -287,3 +287,31 @@ def test_weighted_percentage(spark):
     )
     row = reports.waste_pct_weighted(silver, 2025).first()
     assert (row.weighted_waste_pct, row.mean_waste_pct) == (20.0, 30.0)
+
+
+def test_hot_location_is_split_by_the_key_lookups(spark, tmp_path, conf):
+    """Half of Silver at one location: the shuffled lookup splits it, and loses no row."""
+    produced = [{}, {"menu_item_id": "MI002", "category": "SALADS", "menu_item_name": "Greens"}]
+    few = builders.silver(spark, produced, [{}])
+    silver = few.crossJoin(spark.range(0, 20000, 1, 6)).withColumn(
+        "location_id", F.when(F.col("id") % 2 == 0, "LOC001").otherwise(F.concat(F.lit("L"), "id"))
+    ).drop("id")
+    silver.repartition(6).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    tables = {
+        "dim_date": dims.dim_date(spark, date(2025, 1, 1), date(2025, 12, 31)),
+        "dim_location": dims.dim_location(silver), "dim_menu": dims.dim_menu(silver),
+        "dim_meal_period": dims.dim_meal_period(spark),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
+    )
+    fact = facts.fact_production(silver, tables)
+    assert "skew=true" in builders.final_plan(fact)
+    assert fact.where("location_sk is not null and menu_sk is not null").count() == 40000
