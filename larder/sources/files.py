@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def _path(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -58,9 +60,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.conf.get("spark.app.id", "")
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_folders[application]
 
 
 def new_name(stem: str) -> str:
