@@ -89,3 +89,28 @@ SELECT min(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY row_id
 """
+
+ORACLE["op8_passage_dedup"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+starts AS (SELECT row_id, doc_id, words, unnest(range(len(words) - 49)) AS start FROM d WHERE len(words) >= 50),
+windows AS (SELECT row_id, doc_id, start, md5(array_to_string(words[start + 1:start + 50], ' ')) AS seq FROM starts),
+firsts AS (SELECT seq, min(doc_id) AS first_id FROM windows GROUP BY seq),
+gone AS (
+    SELECT DISTINCT w.row_id, unnest(range(w.start, w.start + 50)) AS pos
+    FROM windows w JOIN firsts f ON f.seq = w.seq AND w.doc_id > f.first_id
+),
+removed AS (SELECT row_id, count(*) AS n, list(pos) AS places FROM gone GROUP BY row_id),
+kept AS (
+    SELECT d.row_id, string_agg(word, ' ' ORDER BY pos) AS text
+    FROM (SELECT row_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM d) d
+    ANTI JOIN gone ON gone.row_id = d.row_id AND gone.pos = d.pos
+    GROUP BY d.row_id
+)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(removed.n, 0) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (row_id) LEFT JOIN kept USING (row_id)
+"""

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import lines, packing, simhash, urls
+from larder.llm import decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, urls, vectors
 from larder.llm.oracle import ORACLE as _SQL
 
+#: Key of the registered query; users pass their own, which they keep secret.
+_SURROGATE_KEY = "larder-registered-query"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,6 +27,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(_table(spark, sf_dir, "documents"), key=_SURROGATE_KEY)
+
+
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(_table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(_table(spark, sf_dir, "pages"))
 
@@ -32,17 +51,31 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(_table(spark, sf_dir, "documents")).drop("keep_runs")
 
 
+def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.without_repeats(_table(spark, sf_dir, "documents")).drop("starts", "ends")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), _token_file())
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_classes(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash,
+        op2_toxicity,
+        op3_surrogates,
+        op4_language_model,
+        op5_decontamination,
         op6_url_filter,
         op7_line_dedup,
+        op8_passage_dedup,
         op9_packing,
+        op10_embedding_dedup,
     )
 }
 ORACLE = {name: _SQL[name] for name in QUERIES if name in _SQL}
