@@ -173,6 +173,32 @@ def contaminated(
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    similarity: float = SIMILARITY,
+    radius: int = RADIUS,
+    words_per_block: int = 1_000_000,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no benchmark item (see
+    ``contaminated``). No row is shuffled."""
+    spark = docs.sparkSession
+    workers_find_package(spark)
+    for block in _blocks(benchmark, words_per_block):
+        docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(block), similarity, radius), docs.schema)
+    return docs
+
+
+def _clean(shared, similarity, radius):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items([(i, np.frombuffer(w, np.uint64)) for i, w in shared.value], radius)
+        for batch in batches:
+            clean = [next(items.matches(words_of(t.as_py()), similarity), None) is None for t in batch["text"]]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
 def _blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[int, bytes]]]:
     """The items as (id, word hashes), some at a time: a stated query set, in blocks."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")

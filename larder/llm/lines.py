@@ -62,7 +62,7 @@ def keep_bitmaps(docs: DataFrame, min_length: int = 40, min_docs: int = 5) -> Da
     )
     ordered = seen.repartitionByRange("key", "doc_id").sortWithinPartitions("key", F.desc("doc_id"), "pos")
     holders = ordered.where("doc_id is not null").groupBy("key", "doc_id").agg(F.count("*").alias("n"))
-    shared = (
+    shared = stored.write(
         holders.groupBy("key")
         .agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
@@ -87,32 +87,42 @@ def kept_text(text: Column, keep_runs: Column) -> Column:
     return F.when(keep_runs.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n"))
 
 
-def with_bitmaps(docs: DataFrame, **options) -> DataFrame:
-    """Every row of ``docs``, unchanged, with ``n_lines``, ``n_dropped`` and ``keep_runs``.
-
-    Null and empty texts are one empty line. Rows that repeat stay and share a bitmap. Without
-    rows the result is empty. ``docs`` must not have columns of these three names.
-    """
+def _with_bitmaps(docs: DataFrame, options: dict) -> DataFrame:
+    """Every row of ``docs`` as ``row``, with ``text``, ``n_lines``, ``n_dropped``, ``keep_runs``
+    (null where no line is dropped)."""
     found = keep_bitmaps(docs.select("doc_id", "text"), **options).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("n_dropped").alias("_n"), "keep_runs"
+        F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "n_dropped", "keep_runs"
     )
-    keyed = docs.withColumn("_text_key", _text_key(F.col("text")))
-    joined = keyed.join(found, (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    n_lines = F.size(_lines(F.col("text"))).cast("long")
-    return joined.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
-        n_lines.alias("n_lines"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("n_dropped"),
-        F.coalesce("keep_runs", F.array(n_lines.cast("int"))).alias("keep_runs"),
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", _text_key(F.col("text")).alias("text_key"))
+    own = (F.col("text_key") == F.col("found_key")) & F.col("doc_id").eqNullSafe(F.col("found_id"))
+    return rows.join(found, own, "left").select(
+        "row", "doc_id", "text",
+        F.size(_lines(F.col("text"))).cast("long").alias("n_lines"),
+        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        "keep_runs",
     )
 
 
 def line_digests(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id``, ``n_lines``, ``n_dropped``, the bitmap and the digest of the kept text."""
-    rows = with_bitmaps(docs.select("doc_id", "text"), **options)
-    runs = F.when(F.col("n_dropped") > 0, F.col("keep_runs"))
+    """Every row of ``docs`` (``doc_id``, ``text``) with its bitmap.
+
+    Returns ``doc_id``, ``n_lines``, ``n_dropped``, ``kept_sha256`` of the text that stays and
+    ``keep_runs``, the bitmap as run lengths of kept and dropped lines in turn. Null and empty
+    texts are one empty line. Rows that repeat stay and share a bitmap. Without rows the result
+    is empty. ``options`` are those of ``keep_bitmaps``.
+    """
+    rows = _with_bitmaps(docs.select("doc_id", "text"), options)
     return rows.select(
         "doc_id", "n_lines", "n_dropped",
-        F.sha2(kept_text(F.col("text"), runs).cast("binary"), 256).alias("kept_sha256"),
-        "keep_runs",
+        F.sha2(kept_text(F.col("text"), F.col("keep_runs")).cast("binary"), 256).alias("kept_sha256"),
+        F.coalesce("keep_runs", F.array(F.col("n_lines").cast("int"))).alias("keep_runs"),
     )
+
+
+def without_shared_lines(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all its rows and columns, with the lines dropped from ``text``; a column
+    ``n_chars`` is counted anew. A null text without dropped lines stays null."""
+    rows = _with_bitmaps(docs, options)
+    text = F.when(F.col("keep_runs").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), F.col("keep_runs")))
+    changed = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return rows.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

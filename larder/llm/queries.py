@@ -13,54 +13,54 @@ from larder.llm.oracle import ORACLE as _SQL
 _SURROGATE_KEY = "larder-registered-query"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _token_file() -> str:
+def token_file() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymised(_table(spark, sf_dir, "documents"), key=_SURROGATE_KEY)
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), key=_SURROGATE_KEY)
 
 
 def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scored(_table(spark, sf_dir, "documents"))
+    return lm.scored(table(spark, sf_dir, "documents"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.url_verdicts(_table(spark, sf_dir, "pages"))
+    return urls.url_verdicts(table(spark, sf_dir, "pages"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_digests(_table(spark, sf_dir, "documents")).drop("keep_runs")
+    return lines.line_digests(table(spark, sf_dir, "documents")).drop("keep_runs")
 
 
 def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.without_repeats(_table(spark, sf_dir, "documents")).drop("starts", "ends")
+    return passages.without_repeats(table(spark, sf_dir, "documents")).drop("starts", "ends")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(_table(spark, sf_dir, "documents"), _token_file())
+    return packing.packed(table(spark, sf_dir, "documents"), token_file())
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.vector_classes(_table(spark, sf_dir, "embeddings"))
+    return vectors.vector_classes(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -13,12 +13,13 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.graph import components
 from larder.llm.shared import Stored, workers_find_package
 from larder.llm.tiles import in_units, parts_of, tile_pairs, units
+from larder.llm.words import mixed
 
 BITS = 64
 _SEED = 42
@@ -89,61 +90,93 @@ def within_radius(values: np.ndarray, radius: int) -> np.ndarray:
     valid = np.packbits(np.arange(width * 64) < n, bitorder="little").view(np.uint64)
     out = np.zeros((n, width), np.uint64)
     for start in range(0, n, _QUERIES):
-        rows = np.arange(start, min(n, start + _QUERIES))
-        out[rows] = _compare(values[rows], planes, radius) & valid
+        queries = values[start : start + _QUERIES]
+        rows, near, _ = _compare(_against(queries, planes), (len(queries), width), radius)
+        out[start + rows] = near & valid
     return out
 
 
-def _compare(queries: np.ndarray, planes: np.ndarray, radius: int) -> np.ndarray:
-    """The lanes within the radius of each query.
+def distances_within(values: np.ndarray, radius: int) -> np.ndarray:
+    """Numbers of differing bits of all pairs; 255 above the radius."""
+    planes = planes_of(values)
+    n, width = len(values), planes.shape[1]
+    out = np.full((n, n), 255, np.uint8)
+    for start in range(0, n, _QUERIES):
+        queries = values[start : start + _QUERIES]
+        rows, near, apart = _compare(_against(queries, planes), (len(queries), width), radius)
+        out[start + rows] = np.where(_lanes(near), _counted(apart, radius), 255)[:, :n]
+    return out
+
+
+def _lanes(words: np.ndarray) -> np.ndarray:
+    """The bits of words as truth values, the lowest first."""
+    return np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=-1, bitorder="little").view(bool)
+
+
+def _counted(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """The distances that vertical counters hold."""
+    start = (1 << len(counters)) - 1 - radius
+    return (sum(_lanes(c).astype(np.int16) << k for k, c in enumerate(counters)) - start).astype(np.uint8) if counters else np.uint8(0)
+
+
+def _against(queries: np.ndarray, planes: np.ndarray):
+    """Differences of each query with all lanes, plane by plane."""
+    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+    def differences(p: int, rows: np.ndarray) -> np.ndarray:
+        mask = np.where(queries[rows] >> np.uint64(p) & np.uint64(1), ones, np.uint64(0))
+        return planes[p][None, :] ^ mask[:, None]
+
+    return differences
+
+
+def _compare(differences, shape: tuple[int, int], radius: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Add up differing bits: rows not abandoned, their lanes within the radius, the counters.
 
     The counters start so high that the step beyond the radius carries out of the highest one;
-    that carry marks a lane as lost. A query all of whose lanes are lost is compared no further.
+    that carry marks a lane as lost. A row all of whose lanes are lost is followed no further.
     """
     n_counters = radius.bit_length()
     start = (1 << n_counters) - 1 - radius
-    width = planes.shape[1]
-    rows = np.arange(len(queries))
-    result = np.zeros((len(queries), width), np.uint64)
     ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    counters = [np.full((len(rows), width), ones if start >> k & 1 else np.uint64(0)) for k in range(n_counters)]
-    lost = np.zeros((len(rows), width), np.uint64)
+    rows = np.arange(shape[0])
+    counters = [np.full(shape, ones if start >> k & 1 else np.uint64(0)) for k in range(n_counters)]
+    lost = np.zeros(shape, np.uint64)
     for p in range(BITS):
-        mask = np.where(queries[rows] >> np.uint64(p) & np.uint64(1), ones, np.uint64(0))
-        carry = planes[p][None, :] ^ mask[:, None]
+        carry = differences(p, rows)
         for counter in counters:
             counter ^= carry
             carry &= ~counter  # a bit that was 1 and is 0 now is carried
         lost |= carry
         if p % _ABANDON == _ABANDON - 1:
-            open_rows = (lost != ones).any(axis=1)
-            if not open_rows.all():
-                rows, lost = rows[open_rows], lost[open_rows]
-                counters = [c[open_rows] for c in counters]
-                if not len(rows):
-                    return result
-    result[rows] = ~lost
-    return result
-
-
-def _neighbours(values: np.ndarray, groups: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links within many small groups at once: lane i of shift s compares fingerprint i with
-    the one s places on. ``groups`` are the bounds, the largest group first."""
+            left = (lost != ones).any(axis=1)
+            if not left.all():
+                rows, lost, counters = rows[left], lost[left], [c[left] for c in counters]
+    return rows, ~lost, counters
+
+
+def _neighbours(values: np.ndarray, groups: np.ndarray, radius: int) -> np.ndarray:
+    """Links (i, j, distance) within many small groups at once: lane i of shift s compares
+    fingerprint i with the one s places on. ``groups`` are the bounds, the largest group first."""
     sizes = np.diff(groups)
-    links = []
+    links = [np.zeros((0, 3), np.int64)]
     for shift in range(1, int(sizes[0]) if len(sizes) else 0):
         n_groups = int(np.searchsorted(-sizes, -shift, side="left"))  # groups of more than shift
         end = groups[n_groups]
         owner = np.repeat(np.arange(n_groups), sizes[:n_groups])
         lanes = np.flatnonzero(np.arange(end) + shift < groups[owner + 1])
-        near = _lanes_within(planes_of(values[lanes]), planes_of(values[lanes + shift]), radius)
-        hit = lanes[np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little")[: len(lanes)])]
-        links += zip(hit.tolist(), (hit + shift).tolist())
-    return links
-
-
-def _hung(links: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Every linked lane but the first of its part, and that first one."""
+        a, b = planes_of(values[lanes]), planes_of(values[lanes + shift])
+        rows, near, apart = _compare(lambda p, rows: (a[p] ^ b[p])[rows, None], (a.shape[1], 1), radius)
+        hits = np.flatnonzero(_lanes(near).ravel())
+        place = rows[hits >> 6] * 64 + (hits & 63)
+        hits, place = hits[place < len(lanes)], place[place < len(lanes)]
+        apart = np.broadcast_to(_counted(apart, radius), (len(rows), 64)).ravel()[hits]
+        links.append(np.stack([lanes[place], lanes[place] + shift, apart], axis=1))
+    return np.concatenate(links)
+
+
+def _spanning(links: np.ndarray) -> np.ndarray:
+    """The links of a shortest spanning forest."""
     above: dict[int, int] = {}
 
     def top(i: int) -> int:
@@ -152,34 +185,29 @@ def _hung(links: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
             i = j
         return i
 
-    for i, j in links:
-        i, j = sorted((top(i), top(j)))
-        above[j] = i
-    pairs = np.array([(i, top(i)) for i in above if top(i) != i], np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
-
-
-def _lanes_within(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    n_counters = radius.bit_length()
-    start = (1 << n_counters) - 1 - radius
-    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    words = np.arange(a.shape[1])
-    result = np.zeros(a.shape[1], np.uint64)
-    counters = [np.full(len(words), ones if start >> k & 1 else np.uint64(0)) for k in range(n_counters)]
-    lost = np.zeros(len(words), np.uint64)
-    for p in range(BITS):
-        carry = a[p][words] ^ b[p][words]
-        for counter in counters:
-            counter ^= carry
-            carry &= ~counter
-        lost |= carry
-        if p % _ABANDON == _ABANDON - 1:
-            left = lost != ones
-            words, lost, counters = words[left], lost[left], [c[left] for c in counters]
-            if not len(words):
-                return result
-    result[words] = ~lost
-    return result
+    chosen = []
+    for k in np.argsort(links[:, 2], kind="stable").tolist():
+        i, j = top(int(links[k, 0])), top(int(links[k, 1]))
+        if i != j:
+            above[max(i, j)] = min(i, j)
+            chosen.append(k)
+    return links[chosen]
+
+
+def _spanning_dense(distances: np.ndarray) -> np.ndarray:
+    """The same for a matrix of distances, 255 where there is no link."""
+    n = len(distances)
+    nearest, by = np.full(n, 256), np.full(n, -1)
+    waiting = np.ones(n, bool)
+    chosen = []
+    for _ in range(n):
+        i = int(np.argmin(np.where(waiting, nearest, 999)))
+        waiting[i] = False
+        if by[i] >= 0:
+            chosen.append((by[i], i, nearest[i]))
+        closer = waiting & (distances[i] < nearest) & (distances[i] < 255)
+        nearest[closer], by[closer] = distances[i][closer], i
+    return np.array(chosen, np.int64).reshape(-1, 3)
 
 
 # --- links ---------------------------------------------------------------------------------
@@ -187,40 +215,41 @@ def _lanes_within(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
 _SMALL = 48  # groups up to this size are compared many at a time
 
 
-def links_in_units(rows: DataFrame, keys: list[str], radius: int) -> DataFrame:
-    """Links ``a``, ``b`` that join the near fingerprints of each work unit (see ``tiles``).
+def links_in_units(rows: DataFrame, keys: list[str], radius: int, node: str = "fingerprint", shortest: bool = False) -> DataFrame:
+    """Links ``a``, ``b`` (values of ``node``) that join the near fingerprints of each work unit
+    (see ``tiles``) to the parts that all links within the radius make.
 
-    A unit gives at most one link a fingerprint: to the first of the part it belongs to. The
-    parts are those of all links within the radius, so no connection is lost.
+    A unit gives fewer links than it has rows, whatever the number of near pairs: those of a
+    spanning forest, the shortest one if so asked.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in units(batches, keys):
             values = table["fingerprint"].to_numpy().view(np.uint64)
-            a, b = [], []
+            nodes = table[node].to_numpy()
+            found = []
             sizes = np.diff(bounds)
             for g in np.flatnonzero(sizes > _SMALL):
                 own = values[bounds[g] : bounds[g + 1]]
-                part = parts_of(within_radius(own, radius), len(own))
-                moved = np.flatnonzero(part != np.arange(len(own)))
-                a.append(own[moved])
-                b.append(own[part[moved]])
+                if shortest:
+                    links = _spanning_dense(distances_within(own, radius))[:, :2]
+                else:
+                    part = parts_of(within_radius(own, radius), len(own))
+                    moved = np.flatnonzero(part != np.arange(len(own)))
+                    links = np.stack([moved, part[moved]], axis=1)
+                found.append(links + bounds[g])
             small = np.flatnonzero(sizes <= _SMALL)
             small = small[np.argsort(-sizes[small], kind="stable")]
             if len(small):
                 order = np.concatenate([np.arange(bounds[g], bounds[g + 1]) for g in small])
-                own, own_bounds = values[order], np.append(0, np.cumsum(sizes[small]))
-                moved, first = _hung(_neighbours(own, own_bounds, radius))
-                a.append(own[moved])
-                b.append(own[first])
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], names=["a", "b"]
-                )
+                links = _neighbours(values[order], np.append(0, np.cumsum(sizes[small])), radius)
+                found.append(order[_spanning(links)[:, :2]])
+            links = np.concatenate(found)
+            if len(links):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[links[:, k]]) for k in (0, 1)], names=["a", "b"])
 
-    return in_units(rows, keys, ["fingerprint"]).select("fingerprint", *keys, "tile_a", "tile_b").mapInArrow(
-        run, "a long, b long"
-    )
+    columns = list(dict.fromkeys(["fingerprint", node, *keys, "tile_a", "tile_b"]))
+    return in_units(rows, keys, [node]).select(*columns).mapInArrow(run, "a long, b long")
 
 
 def block_masks(radius: int, agree: int = 2) -> list[int]:
@@ -278,3 +307,115 @@ def classes(found: DataFrame, radius: int, stored: Stored) -> DataFrame:
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return stored.write(rooted.join(smallest, "root").select("fingerprint", "component_id"))
+
+
+# --- similar texts -------------------------------------------------------------------------
+
+ANCHORS = 6
+
+
+def _signatures(docs: DataFrame, size: int, anchors: int) -> DataFrame:
+    """``doc_id``, ``text_key``, and of the distinct shingles of the text: ``set_id``, a hash of
+    them all, ``fingerprint``, and ``anchors``, the smallest hashes in some scrambled orders."""
+    seeds = mixed(np.arange(1, anchors + 1, dtype=np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets, prints, least = [], [], []
+            for text in batch["text"]:
+                own = np.unique(hashes_of(text.as_py(), size))
+                sets.append(int(mixed(own).sum(dtype=np.uint64).view(np.int64)))
+                prints.append(fingerprint_of(own))
+                least.append([mixed(own ^ s).min().view(np.int64) for s in seeds] if len(own) else [0] * anchors)
+            if sets:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"].cast(pa.int64()), batch["text_key"], pa.array(sets, pa.int64()),
+                        pa.array(prints, pa.int64()), pa.array(least, pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "text_key", "set_id", "fingerprint", "anchors"],
+                )
+
+    return docs.mapInArrow(
+        run, "doc_id long, text_key binary, set_id long, fingerprint long, anchors array<long>"
+    )
+
+
+def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``set_id`` and its distinct shingles ``own``, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.unique(hashes_of(t.as_py(), size)).view(np.int64) for t in batch["text"]]
+            if own:
+                yield pa.RecordBatch.from_arrays(
+                    [batch["set_id"], pa.array(own, pa.list_(pa.int64()))], names=["set_id", "own"]
+                )
+
+    return texts.mapInArrow(run, "set_id long, own array<long>")
+
+
+def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets ``of_a``, ``of_b`` have that Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch["of_a"], batch["of_b"]):
+                x, y = np.asarray(x.values), np.asarray(y.values)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                kept.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+
+
+def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 20, anchors: int = ANCHORS) -> DataFrame:
+    """``docs`` with one row of each class of similar texts: that of the smallest doc_id.
+
+    Texts are alike if their distinct shingles of ``size`` words have that Jaccard similarity or
+    more; classes are what such pairs connect. Of each text six hashes are taken that a pair at
+    the similarity shares with that probability each; fingerprints that have two of them in
+    common are compared bit plane by bit plane, and the shortest forest of links within
+    ``radius`` is verified on the shingles. A pair of texts at the similarity 0.8 meets with
+    probability 0.998 and is within 20 bits with 0.999. Texts without words are alike. Null ids
+    come last, so such a row stays only in a class without ids; of rows that are equal in id and
+    text one stays. All columns of ``docs`` are kept, whatever their names.
+    """
+    spark = docs.sparkSession
+    workers_find_package(spark)
+    stored = Stored(spark, "similar")
+    text_key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key"), "text")
+    signed = stored.write(_signatures(keyed, size, anchors))
+    sets = stored.write(
+        signed.groupBy("set_id").agg(
+            F.min("fingerprint").alias("fingerprint"), F.min("anchors").alias("anchors"), F.min("text_key").alias("text_key")
+        )
+    )
+    pairs = [F.xxhash64(F.lit(k), *(F.col("anchors")[i] for i in chosen)) for k, chosen in enumerate(combinations(range(anchors), 2))]
+    blocks = sets.select("set_id", "fingerprint", F.explode(F.array(*pairs)).alias("block"))
+    dealt = tile_pairs(blocks, ["block"], "set_id")
+    links = links_in_units(dealt, ["block"], radius, node="set_id", shortest=True)
+    links = stored.write(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    met = links.select(F.col("a").alias("set_id")).unionByName(links.select(F.col("b").alias("set_id"))).distinct()
+    wanted = sets.join(met, "set_id").select("set_id", "text_key")
+    texts = keyed.select("text_key", "text").join(wanted, "text_key").select("set_id", "text")
+    known = stored.write(_shingle_sets(texts, size).dropDuplicates(["set_id"]))
+    both = links.join(known.select(F.col("set_id").alias("a"), F.col("own").alias("of_a")), "a").join(
+        known.select(F.col("set_id").alias("b"), F.col("own").alias("of_b")), "b"
+    )
+    alike = stored.write(_alike(both, similarity))
+    stored.drop(known)
+    parts = components(alike, stored).withColumnRenamed("id", "set_id")
+    rooted = signed.select("doc_id", "text_key", "set_id").join(parts, "set_id", "left")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    kept = stored.write(
+        rooted.groupBy(F.coalesce("component", "set_id").alias("root")).agg(first).select("first.doc_id", "first.text_key")
+    )
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key"))
+    own = (rows["text_key"] == kept["text_key"]) & rows["doc_id"].eqNullSafe(kept["doc_id"])
+    numbered = rows.join(kept, own, "left_semi").withColumn(
+        "n", F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy(F.lit(1)))
+    )
+    return numbered.where("n = 1").select("row.*")

@@ -263,3 +263,18 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
         (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"),
         "offending",
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, reject_at: float = PREDICT_AT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below ``reject_at``. No row
+    is shuffled."""
+    workers_find_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            clean = [own.score(t.as_py() or "") < reject_at for t in batch["text"]]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
