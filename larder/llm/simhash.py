@@ -8,6 +8,7 @@ comparisons is left as soon as every distance in it is above the radius.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations, repeat
 
 import numpy as np
@@ -175,8 +176,8 @@ def _neighbours(values: np.ndarray, groups: np.ndarray, radius: int) -> np.ndarr
     return np.concatenate(links)
 
 
-def _spanning(links: np.ndarray) -> np.ndarray:
-    """The links of a shortest spanning forest."""
+def _spanning(pairs) -> list[tuple[int, int]]:
+    """The pairs, in order, that join what those before them have not."""
     above: dict[int, int] = {}
 
     def top(i: int) -> int:
@@ -186,28 +187,12 @@ def _spanning(links: np.ndarray) -> np.ndarray:
         return i
 
     chosen = []
-    for k in np.argsort(links[:, 2], kind="stable").tolist():
-        i, j = top(int(links[k, 0])), top(int(links[k, 1]))
-        if i != j:
-            above[max(i, j)] = min(i, j)
-            chosen.append(k)
-    return links[chosen]
-
-
-def _spanning_dense(distances: np.ndarray) -> np.ndarray:
-    """The same for a matrix of distances, 255 where there is no link."""
-    n = len(distances)
-    nearest, by = np.full(n, 256), np.full(n, -1)
-    waiting = np.ones(n, bool)
-    chosen = []
-    for _ in range(n):
-        i = int(np.argmin(np.where(waiting, nearest, 999)))
-        waiting[i] = False
-        if by[i] >= 0:
-            chosen.append((by[i], i, nearest[i]))
-        closer = waiting & (distances[i] < nearest) & (distances[i] < 255)
-        nearest[closer], by[closer] = distances[i][closer], i
-    return np.array(chosen, np.int64).reshape(-1, 3)
+    for i, j, *alike in pairs:
+        a, b = top(i), top(j)
+        if a != b and all(test() for test in alike):
+            above[max(a, b)] = min(a, b)
+            chosen.append((i, j))
+    return chosen
 
 
 # --- links ---------------------------------------------------------------------------------
@@ -215,12 +200,12 @@ def _spanning_dense(distances: np.ndarray) -> np.ndarray:
 _SMALL = 48  # groups up to this size are compared many at a time
 
 
-def links_in_units(rows: DataFrame, keys: list[str], radius: int, node: str = "fingerprint", shortest: bool = False) -> DataFrame:
+def links_in_units(rows: DataFrame, keys: list[str], radius: int, node: str = "fingerprint") -> DataFrame:
     """Links ``a``, ``b`` (values of ``node``) that join the near fingerprints of each work unit
     (see ``tiles``) to the parts that all links within the radius make.
 
     A unit gives fewer links than it has rows, whatever the number of near pairs: those of a
-    spanning forest, the shortest one if so asked.
+    spanning forest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,19 +216,15 @@ def links_in_units(rows: DataFrame, keys: list[str], radius: int, node: str = "f
             sizes = np.diff(bounds)
             for g in np.flatnonzero(sizes > _SMALL):
                 own = values[bounds[g] : bounds[g + 1]]
-                if shortest:
-                    links = _spanning_dense(distances_within(own, radius))[:, :2]
-                else:
-                    part = parts_of(within_radius(own, radius), len(own))
-                    moved = np.flatnonzero(part != np.arange(len(own)))
-                    links = np.stack([moved, part[moved]], axis=1)
-                found.append(links + bounds[g])
+                part = parts_of(within_radius(own, radius), len(own))
+                moved = np.flatnonzero(part != np.arange(len(own)))
+                found.append(np.stack([moved, part[moved]], axis=1) + bounds[g])
             small = np.flatnonzero(sizes <= _SMALL)
             small = small[np.argsort(-sizes[small], kind="stable")]
             if len(small):
                 order = np.concatenate([np.arange(bounds[g], bounds[g + 1]) for g in small])
                 links = _neighbours(values[order], np.append(0, np.cumsum(sizes[small])), radius)
-                found.append(order[_spanning(links)[:, :2]])
+                found.append(order[np.array(_spanning(links[:, :2].tolist()), np.int64).reshape(-1, 2)])
             links = np.concatenate(found)
             if len(links):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[links[:, k]]) for k in (0, 1)], names=["a", "b"])
@@ -312,6 +293,7 @@ def classes(found: DataFrame, radius: int, stored: Stored) -> DataFrame:
 # --- similar texts -------------------------------------------------------------------------
 
 ANCHORS = 6
+_SETS = 256  # shingle sets to a tile
 
 
 def _signatures(docs: DataFrame, size: int, anchors: int) -> DataFrame:
@@ -355,30 +337,46 @@ def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "set_id long, own array<long>")
 
 
-def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets ``of_a``, ``of_b`` have that Jaccard similarity."""
+def _alike(rows: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """Links ``a``, ``b`` that join the sets of each work unit to the parts that all pairs make
+    which are within the radius and have the similarity. Pairs are tried from the nearest on; one
+    whose sets are joined already is not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for x, y in zip(batch["of_a"], batch["of_b"]):
-                x, y = np.asarray(x.values), np.asarray(y.values)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(shared >= similarity * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+        for table, bounds in units(batches, ["component"]):
+            values = table["fingerprint"].to_numpy().view(np.uint64)
+            nodes = table["set_id"].to_numpy()
+            lists = table["own"].combine_chunks()
+            found = []
+            for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                own = [np.asarray(lists[k].values) for k in range(start, end)]
+
+                def test(i: int, j: int) -> bool:
+                    shared = len(np.intersect1d(own[i], own[j], assume_unique=True))
+                    return shared >= similarity * (len(own[i]) + len(own[j]) - shared)
+
+                apart = distances_within(values[start:end], radius)
+                i, j = np.nonzero(np.triu(apart < 255, 1))
+                order = np.argsort(apart[i, j], kind="stable")
+                pairs = ((a, b, partial(test, a, b)) for a, b in zip(i[order].tolist(), j[order].tolist()))
+                found += [(start + a, start + b) for a, b in _spanning(pairs)]
+            if found:
+                links = np.array(found)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[links[:, k]]) for k in (0, 1)], names=["a", "b"])
 
-    return pairs.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    columns = ["component", "tile_a", "tile_b", "set_id", "fingerprint", "own"]
+    return in_units(rows, ["component"], ["set_id"]).select(*columns).mapInArrow(run, "a long, b long")
 
 
-def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 20, anchors: int = ANCHORS) -> DataFrame:
+def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 18, anchors: int = ANCHORS) -> DataFrame:
     """``docs`` with one row of each class of similar texts: that of the smallest doc_id.
 
     Texts are alike if their distinct shingles of ``size`` words have that Jaccard similarity or
     more; classes are what such pairs connect. Of each text six hashes are taken that a pair at
     the similarity shares with that probability each; fingerprints that have two of them in
-    common are compared bit plane by bit plane, and the shortest forest of links within
-    ``radius`` is verified on the shingles. A pair of texts at the similarity 0.8 meets with
-    probability 0.998 and is within 20 bits with 0.999. Texts without words are alike. Null ids
+    common are compared bit plane by bit plane. In the groups that links within ``radius`` make,
+    every pair within it is verified on the shingles, unless it is connected already. A pair of
+    texts at the similarity 0.8 meets with probability 0.998 and is within 18 bits with 0.998. Texts without words are alike. Null ids
     come last, so such a row stays only in a class without ids; of rows that are equal in id and
     text one stays. All columns of ``docs`` are kept, whatever their names.
     """
@@ -395,17 +393,13 @@ def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, rad
     )
     pairs = [F.xxhash64(F.lit(k), *(F.col("anchors")[i] for i in chosen)) for k, chosen in enumerate(combinations(range(anchors), 2))]
     blocks = sets.select("set_id", "fingerprint", F.explode(F.array(*pairs)).alias("block"))
-    dealt = tile_pairs(blocks, ["block"], "set_id")
-    links = links_in_units(dealt, ["block"], radius, node="set_id", shortest=True)
-    links = stored.write(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    met = links.select(F.col("a").alias("set_id")).unionByName(links.select(F.col("b").alias("set_id"))).distinct()
+    links = links_in_units(tile_pairs(blocks, ["block"], "set_id"), ["block"], radius, node="set_id")
+    met = stored.write(components(links, stored).withColumnRenamed("id", "set_id"))
     wanted = sets.join(met, "set_id").select("set_id", "text_key")
     texts = keyed.select("text_key", "text").join(wanted, "text_key").select("set_id", "text")
-    known = stored.write(_shingle_sets(texts, size).dropDuplicates(["set_id"]))
-    both = links.join(known.select(F.col("set_id").alias("a"), F.col("own").alias("of_a")), "a").join(
-        known.select(F.col("set_id").alias("b"), F.col("own").alias("of_b")), "b"
-    )
-    alike = stored.write(_alike(both, similarity))
+    known = stored.write(_shingle_sets(texts, size).dropDuplicates(["set_id"]).join(sets.select("set_id", "fingerprint"), "set_id"))
+    dealt = tile_pairs(met, ["component"], "set_id", tile=_SETS).join(known, "set_id")
+    alike = stored.write(_alike(dealt, similarity, radius))
     stored.drop(known)
     parts = components(alike, stored).withColumnRenamed("id", "set_id")
     rooted = signed.select("doc_id", "text_key", "set_id").join(parts, "set_id", "left")

@@ -26,9 +26,10 @@ SLOTS = 1 << 18  # weights; every feature of a word falls into one by its hash
 #: At most so many labelled documents are learned from, those with the smallest hash of their id.
 MOST_TRAINED = 40_000
 SHARDS = 8
-ROUNDS = 6
-_RATE, _DECAY, _START = 0.3, 1e-5, -6.0
-_BATCH = 64
+#: A shard takes no further documents beyond so many words' slots.
+MOST_SLOTS = 20_000_000
+ROUNDS, STEPS, _BATCH = 6, 120, 16
+_RATE, _DECAY, _START, _SQUARES = 0.5, 1e-5, -6.0, 0.1
 _KNOWN_WORDS = 500_000  # words whose score a task keeps
 PREDICT_AT = 0.3
 
@@ -155,27 +156,29 @@ def _descend(bags: list[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray
     return bias - _RATE * g / (np.sqrt(squares[-1]) + 1e-8)
 
 
-def _round(weights: np.ndarray, bias: float, shared):
-    """A pass of one shard over its documents, from the weights all shards begin with."""
+def _round(number: int, shared):
+    """So many steps of one shard over its documents, again and again in shuffled order, from the
+    weights with which all shards begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, squares = (x.copy() if isinstance(x, np.ndarray) else x for x in shared.value)
-        waiting, n = [], 0
+        bags, n_slots = [], 0
         for batch in batches:
             for toxic, slots, sizes in zip(batch["toxic"], batch["slots"], batch["sizes"]):
-                if len(sizes.values):
-                    waiting.append((toxic.as_py(), np.asarray(slots.values), np.asarray(sizes.values)))
-                    n += 1
-                if len(waiting) == _BATCH:
-                    bias = _descend(waiting, weights, bias, squares)
-                    waiting = []
-        if waiting:
-            bias = _descend(waiting, weights, bias, squares)
-        if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), pa.array([weights.astype(np.float32).tobytes()]), pa.array([bias]), pa.array([squares.astype(np.float32).tobytes()])],
-                names=["n", "weights", "bias", "squares"],
-            )
+                if len(sizes.values) and n_slots < MOST_SLOTS:
+                    bags.append((toxic.as_py(), np.array(slots.values), np.array(sizes.values)))
+                    n_slots += len(slots.values)
+        if not bags:
+            return
+        weights, bias, squares = (x.copy() if isinstance(x, np.ndarray) else x for x in shared.value)
+        draw = np.random.default_rng(number)
+        order = np.concatenate([draw.permutation(len(bags)) for _ in range(-(-STEPS * _BATCH // len(bags)))])
+        for k in range(STEPS):
+            bias = _descend([bags[i] for i in order[k * _BATCH : (k + 1) * _BATCH]], weights, bias, squares)
+        packed = [pa.array([x.astype(np.float32).tobytes()]) for x in (weights, squares)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(bags)], pa.int64()), packed[0], pa.array([bias]), packed[1]],
+            names=["n", "weights", "bias", "squares"],
+        )
 
     return run
 
@@ -183,24 +186,23 @@ def _round(weights: np.ndarray, bias: float, shared):
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED, rounds: int = ROUNDS) -> Model:
     """Learn from at most ``most`` labelled documents that are not held out.
 
-    The documents are dealt into shards by id. In each round every shard descends over its
-    documents from the same weights, and the results are averaged by the number of documents;
-    the driver holds the weights of the shards, a fixed size. Several labels of one document
+    The documents are dealt into shards by id. In each round every shard takes the same number of
+    steps over its documents from the same weights, and the results are averaged by the number of
+    documents; the driver holds the weights of the shards, a fixed size. A shard that has
+    ``MOST_SLOTS`` features takes no more documents. Several labels of one document
     count as the largest; several documents of one id all have its label. Without labels the
     model gives every text a small probability.
     """
     spark = docs.sparkSession
     workers_find_package(spark)
     stored = Stored(spark, "toxicity")
-    rows = stored.write(
-        _training_rows(docs, labels, most).repartition(SHARDS, "doc_id").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
-    )
-    weights, bias, squares = np.zeros(SLOTS), _START, np.full(SLOTS + 1, 1e-4)
-    dealt = rows.repartition(SHARDS, "doc_id").sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    for _ in range(rounds):
+    rows = stored.write(_training_rows(docs, labels, most))
+    weights, bias, squares = np.zeros(SLOTS), _START, np.full(SLOTS + 1, _SQUARES)
+    dealt = rows.repartition(SHARDS, "doc_id").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    for number in range(rounds):
         shared = spark.sparkContext.broadcast((weights, bias, squares))
         results = dealt.mapInArrow(
-            _round(weights, bias, shared), "n long, weights binary, bias double, squares binary"
+            _round(number, shared), "n long, weights binary, bias double, squares binary"
         ).collect()
         shared.unpersist()
         if not results:
