@@ -96,7 +96,7 @@ def repeated_spans(docs: DataFrame, firsts: DataFrame, stored: Stored, window: i
     half_runs = stored.write(runs.join(firsts, ["doc_id", "text_key"], "left_semi"))
     repeated = half_runs.groupBy("run").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     candidates = (
-        half_runs.join(repeated.select("run"), "run", "left_semi")
+        half_runs.join(stored.write(repeated.select("run")), "run", "left_semi")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("run").alias("runs"))
     )
@@ -105,8 +105,10 @@ def repeated_spans(docs: DataFrame, firsts: DataFrame, stored: Stored, window: i
         texts.mapInArrow(_windows(half, window), "doc_id long, text_key binary, hash long, start int")
     )
     stored.drop(half_runs)
-    first = full.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
-    later = full.join(first.select("hash", "first_id"), "hash").where("doc_id > first_id")
+    # Stored, so that the join below is one that can split a window that very many documents hold.
+    first = full.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    first = stored.write(first.where("first_id < last_id").select("hash", "first_id"))
+    later = full.join(first, "hash").where("doc_id > first_id")
     found = stored.write(
         later.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("start")).alias("all"))
     )
