@@ -33,6 +33,7 @@ CONTEXTS = (1 << 16) - 1  # contexts by hash; one more stands for the start of a
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
 _EXACT_SEATS = 64  # customers seated one by one; later ones in steps of a 32nd of those seated
+_CHUNK = 2048  # documents packed at a time
 _END = b"\n"  # no word has a line end
 _DOCS = -1  # the bucket of the rows that describe documents
 _PART = "bucket int, chunk long, data binary"
@@ -93,17 +94,16 @@ def _occurrences(n_buckets: int, hot: np.ndarray):
         task = TaskContext.get().partitionId()
         number = 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 1 << 13):
-                part = batch.slice(start, 1 << 13)
-                yield _chunk(part, (task << 24) + number)
+            for start in range(0, batch.num_rows, _CHUNK):
+                yield _chunk(batch.slice(start, _CHUNK), (task << 24) + number)
                 number += 1
 
     def _chunk(part: pa.RecordBatch, chunk: int) -> pa.RecordBatch:
         ids = part["doc_id"].to_pylist()
         held = np.array([_held_out(i) for i in ids])
-        words = [(t.as_py() or "").encode().lower().split() for t in part["text"]]
-        n_tokens = np.array([len(w) + 1 for w in words], np.int64)
-        dishes = np.concatenate([np.append(word_hashes(w), end) for w in words])
+        texts = [np.append(word_hashes((t.as_py() or "").encode().lower().split()), end) for t in part["text"]]
+        n_tokens = np.array([len(t) for t in texts], np.int64)
+        dishes = np.concatenate(texts)
         docs = np.repeat(np.arange(len(ids)), n_tokens)
         contexts = np.append(np.uint64(0), mixed(dishes[:-1]) % np.uint64(CONTEXTS)).astype(np.int64)
         contexts[np.cumsum(n_tokens) - n_tokens] = CONTEXTS
