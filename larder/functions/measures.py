@@ -9,29 +9,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,4)"
-TOTAL = "decimal(28,4)"
-PERCENT = "decimal(18,8)"
+AMOUNT = "decimal(28,8)"
+PERCENT = AMOUNT
+_LIMIT = 1e18  # smaller amounts fit the type and leave room for their sum
 
 
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _unfit(column: Column) -> Column:
+    """Whether an amount is too large or not finite."""
+    return F.coalesce(~(F.abs(column) < _LIMIT), F.lit(False))
+
+
+def in_range(column: Column | str) -> Column:
+    """Whether an amount is null, or finite and small enough to be summed exactly."""
+    return ~_unfit(_col(column))
+
+
+def sum_parts(column: Column | str) -> tuple[Column, Column, Column]:
+    """Aggregates from which ``sum_of_parts`` makes a sum over groups of groups."""
+    column = _col(column)
+    fit = F.when(~_unfit(column), column).cast(AMOUNT)
+    return F.sum(fit), F.sum(column), F.bool_or(_unfit(column))
+
+
+def sum_of_parts(exact: Column | str, plain: Column | str, unfit: Column | str) -> Column:
+    total = F.sum(_col(exact)).cast("double")
+    return F.when(F.bool_or(_col(unfit)), F.sum(_col(plain))).otherwise(total)
+
+
 def exact_sum(column: Column | str) -> Column:
-    """Sum of row amounts."""
-    return F.sum(_col(column).cast(AMOUNT)).cast("double")
+    """Sum of amounts, exact to eight decimals. With an amount that is not finite or too large
+    for the decimal, the sum is that of the doubles, so nothing is left out."""
+    exact, plain, unfit = sum_parts(column)
+    return F.when(unfit, plain).otherwise(exact.cast("double"))
 
 
 def total_of_totals(column: Column | str) -> Column:
-    """Sum of amounts that are sums already, with more room on the left of the point."""
-    return F.sum(_col(column).cast(TOTAL)).cast("double")
+    """Sum of amounts that are sums already."""
+    return exact_sum(column)
 
 
 def exact_mean(column: Column | str) -> Column:
     """Mean of percentages."""
-    column = _col(column)
-    return F.sum(column.cast(PERCENT)).cast("double") / F.count(column)
+    return exact_sum(column) / F.count(_col(column))
 
 
 def percent_of(part: Column, whole: Column) -> Column:

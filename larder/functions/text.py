@@ -29,12 +29,14 @@ def na_to_null(column: Column | str) -> Column:
 
 
 def to_double(column: str) -> Column:
-    return F.col(column).try_cast("double")
+    """Text to a finite number, anything else to null."""
+    number = F.col(column).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def to_int(column: str) -> Column:
     """Text to whole number; a decimal part is cut off, anything else unreadable is null."""
-    return F.col(column).try_cast("double").try_cast("int")
+    return to_double(column).try_cast("int")
 
 
 def to_day(column: str) -> Column:
@@ -49,6 +51,12 @@ def to_day(column: str) -> Column:
 
 
 def surrogate_key(*columns: Column | str) -> Column:
-    """The same natural key always gets the same surrogate key. Null parts are skipped."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    """The same natural key always gets the same surrogate key, different ones different keys:
+    separators inside a part are escaped and a null part has a mark of its own."""
+
+    def part(column: Column | str) -> Column:
+        text = (F.col(column) if isinstance(column, str) else column).cast("string")
+        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(escaped, F.lit("\\N"))
+
+    return F.md5(F.concat_ws("|", *map(part, columns)))

@@ -1,5 +1,5 @@
-"""Typed, trimmed versions of the raw feeds. Unreadable values become null, so that the
-gates report them."""
+"""Typed versions of the landed feeds, by the contract of their columns. Unreadable values become
+null; ``unreadable_report`` counts them, and the batch run stops at any."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import strip, to_day, to_double, to_int
+from larder.operators import quality
+from larder.schemas import READ_AS, SOURCES
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -34,64 +36,55 @@ def strip_text(df: DataFrame) -> DataFrame:
     )
 
 
+_READERS = {
+    "text": F.trim,
+    "upper": lambda c: F.upper(F.trim(c)),
+    "lower": lambda c: F.lower(F.trim(c)),
+    "day": to_day,
+    "number": to_double,
+    "whole": to_int,
+}
+_TYPED = ("day", "number", "whole")
+
+
+def _kinds(df: DataFrame, source: str) -> dict[str, str]:
+    """How each column of a feed is read, in the order of ``df``; others are left alone."""
+    named = READ_AS[source]
+    return {c: named.get(c, "text") for c in df.columns if c in SOURCES[source].columns}
+
+
+def typed(df: DataFrame, source: str) -> DataFrame:
+    """A landed feed with the types and cases its contract names."""
+    kinds = _kinds(df, source)
+    return df.select(*(_READERS[kinds[c]](c).alias(c) if c in kinds else F.col(c) for c in df.columns))
+
+
+def unreadable_report(df: DataFrame, source: str) -> DataFrame:
+    """check_name, failing_rows: for each typed column the rows of a landed feed that hold a text
+    which is no date or finite number. All columns are counted in one pass."""
+    checks = [
+        (f"{c}_readable", _READERS[kind](c).isNotNull() | F.col(c).isNull())
+        for c, kind in _kinds(df, source).items()
+        if kind in _TYPED
+    ]
+    return quality.report(df, checks)
+
+
 def clean_production(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "date": to_day("date"),
-            "quantity_prepared": to_double("quantity_prepared"),
-            "cost_per_unit": to_double("cost_per_unit"),
-            "planned_quantity": to_double("planned_quantity"),
-            "actual_served_estimate": to_double("actual_served_estimate"),
-            "location_id": F.trim("location_id"),
-            "menu_item_id": F.trim("menu_item_id"),
-            "meal_period": F.trim(F.lower("meal_period")),
-            "category": F.upper(F.trim("category")),
-        }
-    )
+    return typed(df, "production_logs")
 
 
 def clean_waste(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "date": to_day("date"),
-            "quantity_wasted": to_double("quantity_wasted"),
-            "location_id": F.trim("location_id"),
-            "menu_item_id": F.trim("menu_item_id"),
-            "meal_period": F.trim(F.lower("meal_period")),
-            "waste_reason": F.trim(F.lower("waste_reason")),
-            "waste_stage": F.trim("waste_stage"),
-        }
-    )
+    return typed(df, "waste_logs")
 
 
 def clean_menu(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "menu_item_id": F.trim("menu_item_id"),
-            "menu_item_name": F.trim("menu_item_name"),
-            "category": F.upper(F.trim("category")),
-            "sub_category": F.trim("sub_category"),
-            "cost_per_unit": to_double("cost_per_unit"),
-            "shelf_life_hours": to_int("shelf_life_hours"),
-        }
-    )
+    return typed(df, "menu_data")
 
 
 def clean_location(df: DataFrame) -> DataFrame:
-    trimmed = df.withColumns(
-        {c: F.trim(c) for c in ("location_id", "location_name", "city", "region")}
-    )
-    return first_by_text(trimmed, "location_id")
+    return first_by_text(typed(df, "location_data"), "location_id")
 
 
 def clean_supplier(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "supplier_id": F.trim("supplier_id"),
-            "supplier_name": F.trim("supplier_name"),
-            "menu_item_id": F.trim("menu_item_id"),
-            "lead_time_days": to_int("lead_time_days"),
-            "quality_score": to_double("quality_score"),
-            "effective_from": to_day("effective_from"),
-        }
-    )
+    return typed(df, "supplier_data")

@@ -42,10 +42,12 @@ def dim_date(spark: SparkSession, first: date, last: date) -> DataFrame:
 
 
 def dim_date_covering(df: DataFrame, column: str = "date") -> DataFrame:
-    """Whole years around the dates found in ``df``."""
-    span = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).where("lo is not null")
-    first = F.trunc("lo", "year")
-    last = F.date_sub(F.add_months(F.trunc("hi", "year"), 12), 1)
+    """Whole years around the dates found in ``df``. Where ``df`` is stored by year, only the
+    names of its partitions are read."""
+    year = F.col("year") if "year" in df.columns else F.year(column)
+    span = df.agg(F.min(year).alias("lo"), F.max(year).alias("hi")).where("lo is not null")
+    first = F.make_date("lo", F.lit(1), F.lit(1))
+    last = F.make_date("hi", F.lit(12), F.lit(31))
     return calendar(_day_per_row(span, first, last))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.schemas import WASTE_REASONS
+from larder.functions.measures import in_range
+from larder.schemas import SILVER, WASTE_REASONS
 
 Check = tuple[str, Column]
 
@@ -81,10 +82,29 @@ def gate_unique(df: DataFrame, *key: str, table: str = "") -> None:
     raise_on_failure(unique_report(df, *key), table)
 
 
+def key_report(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """table_name, check_name, failing_rows: surplus rows of the key of each table."""
+    found = None
+    for name, (df, key) in tables.items():
+        one = unique_report(df, key).select(F.lit(name).alias("table_name"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def fanout_report(before: DataFrame, after: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """What the supplier lookup does to the waste rows: their number before and after it, and the
+    items that have several current suppliers, whose waste counts once for each."""
+    rows_before = before.agg(F.count(F.lit(1)).alias("rows_before"))
+    rows_after = after.agg(F.count(F.lit(1)).alias("rows_after"))
+    shared = duplicate_keys(suppliers, "menu_item_id").agg(F.count(F.lit(1)).alias("shared_items"))
+    return rows_before.select("rows_before", rows_after.scalar().alias("rows_after"), shared.scalar().alias("shared_items"))
+
+
 # --- Silver and facts -----------------------------------------------------------------
 
 
 def silver_checks() -> list[Check]:
+    # The names of the checks, and the message in raise_on_failure.
     col = F.col
     reason = col("waste_reason")
     return [
@@ -101,6 +121,12 @@ def silver_checks() -> list[Check]:
     ]
 
 
+def range_checks() -> list[Check]:
+    """Every measure of Silver is finite and small enough to be summed exactly."""
+    measures = [f.name for f in SILVER.fields if f.dataType.typeName() == "double"]
+    return [(f"{c}_in_range", in_range(c)) for c in measures]
+
+
 def _present(*columns: str) -> list[Check]:
     return [(f"{c}_not_null", F.col(c).isNotNull()) for c in columns]
 

@@ -116,11 +116,27 @@ def apply_scd2(
 
 
 def supplier_as_of(rows: DataFrame, dim: DataFrame, on: str = "menu_item_id", day: str = "date") -> DataFrame:
-    """Rows with the supplier versions of their item that were valid on their date."""
+    """Rows with the supplier versions of their item that were valid on their date.
+
+    The join is on item and year: a version is repeated for each year it was valid in, up to the
+    last year of the rows, so a row meets the versions of its own year only.
+    """
+    span = rows.agg(F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi"))
     versions = dim.select(
         on, "supplier_sk", "supplier_id", "quality_score",
         F.col("effective_date").cast("date").alias("_from"),
         F.col("expiry_date").cast("date").alias("_to"),
     )
-    matches = (rows[on] == versions[on]) & rows[day].between(versions["_from"], versions["_to"])
-    return rows.join(versions, matches, "left").drop(versions[on]).drop("_from", "_to")
+    first = F.greatest(F.year("_from"), span.select("lo").scalar())
+    last = F.least(F.year("_to"), span.select("hi").scalar())
+    spread = versions.withColumns({"_first": first, "_last": last}).where("_first <= _last").withColumn(
+        "_year", F.explode(F.sequence("_first", "_last"))
+    )
+    dated = rows.withColumn("_row_year", F.year(day))
+    matches = (
+        (dated[on] == spread[on]) & (dated["_row_year"] == spread["_year"])
+        & dated[day].between(spread["_from"], spread["_to"])
+    )
+    return dated.join(spread, matches, "left").drop(spread[on]).drop(
+        "_from", "_to", "_first", "_last", "_year", "_row_year"
+    )

@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.functions.measures import exact_sum
+from larder.functions.measures import sum_of_parts, sum_parts
 from larder.operators.clean import first_by_text
-from larder.schemas import GRAIN, LOCATION_ATTRIBUTES, SILVER
+from larder.schemas import GRAIN, LOAD_DATE, LOCATION_ATTRIBUTES, SILVER
 
 
-def waste_to_grain(waste: DataFrame) -> DataFrame:
+def waste_to_grain(waste: DataFrame, by_load: bool = False) -> DataFrame:
     """Waste events summed to one row per production key.
 
-    Reason and stage are those of the largest event. Both aggregates combine on the map
-    side, so a key with very many events shuffles one row per task.
+    Reason and stage are those of the largest event. Events are summed by key, reason and stage
+    first, with numbers only in the buffers, so that raw rows are hashed and not sorted; a key
+    with very many events shuffles a row per task and cause. The cause of a key is then picked
+    from these few rows. With ``by_load`` the load date of the latest event is kept.
     """
-    event = F.struct("quantity_wasted", "waste_reason", "waste_stage")
+    loaded = [F.max(LOAD_DATE).alias(LOAD_DATE)] if by_load else []
+    exact, plain, unfit = sum_parts("quantity_wasted")
+    causes = waste.groupBy(*GRAIN, "waste_reason", "waste_stage").agg(
+        exact.alias("_exact"), plain.alias("_plain"), unfit.alias("_unfit"),
+        F.max("quantity_wasted").alias("_largest"), *loaded,
+    )
     return (
-        waste.groupBy(*GRAIN)
-        .agg(exact_sum("quantity_wasted").alias("quantity_wasted"), F.max(event).alias("_top"))
-        .select(*GRAIN, "quantity_wasted", "_top.waste_reason", "_top.waste_stage")
+        causes.groupBy(*GRAIN)
+        .agg(
+            sum_of_parts("_exact", "_plain", "_unfit").alias("quantity_wasted"),
+            F.max(F.struct("_largest", "waste_reason", "waste_stage")).alias("_top"),
+            *loaded,
+        )
+        .select(
+            *GRAIN, "quantity_wasted", "_top.waste_reason", "_top.waste_stage",
+            *([LOAD_DATE] if by_load else []),
+        )
     )
 
 
@@ -39,6 +53,22 @@ def location_lookup(locations: DataFrame) -> DataFrame:
     )
 
 
+def latest_loads(feed: DataFrame) -> DataFrame:
+    """The rows of each key from the last load date that has any for it."""
+    last = Window.partitionBy(*GRAIN).orderBy(F.desc(LOAD_DATE))
+    return feed.withColumn("_rank", F.rank().over(last)).where("_rank = 1").drop("_rank")
+
+
+def _with_waste(production: DataFrame, waste_grain: DataFrame) -> DataFrame:
+    if LOAD_DATE not in waste_grain.columns:
+        return production.join(waste_grain, list(GRAIN), "left")
+    waste = waste_grain.withColumnsRenamed({c: f"_w_{c}" for c in (*GRAIN, LOAD_DATE)})
+    matched = F.col(f"_w_{LOAD_DATE}") >= F.col(LOAD_DATE)
+    for c in GRAIN:
+        matched = (production[c] == waste[f"_w_{c}"]) & matched
+    return production.join(waste, matched, "left").drop(*(f"_w_{c}" for c in (*GRAIN, LOAD_DATE)))
+
+
 def build_silver(
     production: DataFrame, waste_grain: DataFrame, menu: DataFrame, locations: DataFrame
 ) -> DataFrame:
@@ -47,10 +77,11 @@ def build_silver(
     ``waste_grain``, ``menu`` and ``locations`` hold one row per key (see the functions
     above). When they are stored tables, as in the batch run, Spark knows their size: it
     broadcasts a small one, and shuffles both sides of a large one directly below the join,
-    where adaptive execution can split a skewed key.
+    where adaptive execution can split a skewed key. With load dates on both sides, waste of a
+    load before the one that gave the production row is left out.
     """
     joined = (
-        production.join(waste_grain, list(GRAIN), "left")
+        _with_waste(production, waste_grain)
         .join(menu, "menu_item_id", "left")
         .join(locations, "location_id", "left")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import clean, dims, facts, quality, scd2, silver
-from larder.schemas import DIMS, FACTS, LOAD_DATE, PARTITIONS, SILVER, SOURCES
+from larder.schemas import DIMS, FACTS, GRAIN, LOAD_DATE, PARTITIONS, SILVER, SOURCES
 from larder.sources import bronze, files
 from larder.sources.catalog import gold_path
 from larder.sources.tables import publish, read_if_present, read_or_empty, read_table
@@ -47,11 +47,9 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{files.shared_folder(spark)}/{files.new_name('larder')}"
-        self._count = 0
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        self._count += 1
-        path = f"{self.folder}/{self._count:04d}"
+        path = f"{self.folder}/{files.new_name('part')}"
         df.write.parquet(path)
         return read_table(self.spark, path, df.schema)
 
@@ -61,12 +59,12 @@ class Scratch:
 
 def run_bronze(
     spark: SparkSession, paths: Paths, run_date: date, batch_id: str | None = None,
-    ingested_at: str | None = None,
+    ingested_at: str | None = None, multiline: bool = False,
 ) -> None:
     batch_id = batch_id or str(uuid.uuid4())
     ingested_at = ingested_at or datetime.now(timezone.utc).isoformat()
     for source in SOURCES:
-        raw = bronze.read_feed(spark, paths.raw, source)
+        raw = bronze.read_feed(spark, paths.raw, source, multiline)
         bronze.land(spark, raw, source, paths.bronze, run_date, batch_id, ingested_at)
 
 
@@ -74,26 +72,61 @@ def silver_from_bronze(read, stage) -> DataFrame:
     """``read(source)`` gives a Bronze feed; ``stage`` stores an intermediate."""
     return silver.build_silver(
         clean.clean_production(read("production_logs")),
-        stage(silver.waste_to_grain(clean.clean_waste(read("waste_logs")))),
+        silver.waste_to_grain(clean.clean_waste(read("waste_logs"))),
+        stage(silver.menu_lookup(clean.clean_menu(read("menu_data")))),
+        stage(silver.location_lookup(clean.clean_location(read("location_data")))),
+    )
+
+
+def silver_of_months(read, months: DataFrame, stage) -> DataFrame:
+    """Silver of the months (``year``, ``month``) from all load dates of the logs.
+
+    A production key has the record of the last load that holds one; its waste is that of the
+    last load with any for the key, if not earlier. So a month may arrive in several loads, and
+    a later load corrects what it holds.
+    """
+
+    def of_months(source: str, cleaned) -> DataFrame:
+        dated = cleaned(read(source)).withColumns({"_y": F.year("date"), "_m": F.month("date")})
+        within = (F.col("_y") == months["year"]) & (F.col("_m") == months["month"])
+        return silver.latest_loads(dated.join(months, within, "left_semi").drop("_y", "_m"))
+
+    return silver.build_silver(
+        of_months("production_logs", clean.clean_production),
+        silver.waste_to_grain(of_months("waste_logs", clean.clean_waste), by_load=True),
         stage(silver.menu_lookup(clean.clean_menu(read("menu_data")))),
         stage(silver.location_lookup(clean.clean_location(read("location_data")))),
     )
 
 
 def run_silver(spark: SparkSession, paths: Paths, run_date: date) -> None:
-    """One load date of Bronze to Silver; a rerun replaces the months it holds."""
+    """The months that one load date of Bronze touches, to Silver. Texts that are no dates or
+    numbers stop it, as do keys that occur twice in a load."""
+    logs = ("production_logs", "waste_logs")
 
     def read(source: str) -> DataFrame:
+        if source in logs:
+            return bronze.read_bronze(spark, paths.bronze, source)
         return bronze.read_bronze(spark, paths.bronze, source, run_date).drop(LOAD_DATE)
 
+    for source in (*logs, "menu_data"):
+        landed = bronze.read_bronze(spark, paths.bronze, source, run_date)
+        quality.raise_on_failure(clean.unreadable_report(landed, source), source)
+    arrived = [
+        clean.typed(bronze.read_bronze(spark, paths.bronze, source, run_date).select("date"), source)
+        for source in logs
+    ]
+    days = arrived[0].unionByName(arrived[1])
+    months = days.select(F.year("date").alias("year"), F.month("date").alias("month")).distinct()
+
+    def gate(written: DataFrame) -> None:
+        quality.gate(written, quality.range_checks() + quality.silver_checks(), table="silver")
+        quality.gate_unique(written, *GRAIN, table="silver")
+
     scratch = Scratch(spark)
     try:
-        built = silver_from_bronze(read, scratch)
-        publish(
-            spark, built.select(*SILVER.names), paths.silver,
-            lambda df: quality.gate(df, quality.silver_checks(), table="silver"),
-            PARTITIONS, rebalance=True,
-        )
+        built = silver_of_months(read, scratch(months), scratch)
+        publish(spark, built.select(*SILVER.names), paths.silver, gate, PARTITIONS, rebalance=True)
     finally:
         scratch.drop()
 
@@ -155,15 +188,6 @@ def run_supplier(
     _publish_dim(spark, paths, "dim_supplier", merged, quality.gate_versions)
 
 
-def lookups_fit_broadcast(spark: SparkSession, paths: Paths) -> bool:
-    """Whether every dimension a fact looks up is below Spark's own broadcast limit."""
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    if limit.startswith("-"):
-        return False
-    limit_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-    return all(files.size_of(spark, gold_path(paths.gold, d)) <= limit_bytes for d in DIMS)
-
-
 def build_fact(
     name: str, source: DataFrame, tables: Mapping[str, DataFrame], pick: str, stage: Scratch
 ) -> DataFrame:
@@ -176,21 +200,33 @@ def build_fact(
     }[name](source, tables)
 
 
-def run_facts(spark: SparkSession, paths: Paths, pick: str = "all") -> None:
-    """The four facts. While all lookups are broadcast, a fact keeps Silver's file layout and
-    is written without a shuffle; otherwise rows are gathered by month again."""
+#: The surrogate key of each fact that has one.
+FACT_KEYS = {"fact_production": "production_sk", "fact_waste": "waste_sk", "fact_consumption": "consumption_sk"}
+
+
+def run_facts(spark: SparkSession, paths: Paths, pick: str = "all", rebalance: bool = True) -> None:
+    """The four facts, each replaced as a whole, so that months without rows any more are gone.
+
+    ``rebalance`` gathers rows by month before they are written. It may be turned off where all
+    dimensions are small enough to be broadcast: the facts then keep Silver's file layout.
+    """
     source = read_silver(spark, paths)
     tables = {name: read_dim(spark, paths, name) for name in DIMS}
-    scattered = not lookups_fit_broadcast(spark, paths)
+
+    def gate(name: str):
+        def run_checks(written: DataFrame) -> None:
+            quality.gate(written, quality.fact_checks(name), "fail", name)
+            if name in FACT_KEYS:
+                quality.gate_unique(written, FACT_KEYS[name], table=name)
+
+        return run_checks
+
     scratch = Scratch(spark)
     try:
         for name in FACTS:
-            checks = quality.fact_checks(name)
             publish(
                 spark, build_fact(name, source, tables, pick, scratch),
-                gold_path(paths.gold, name),
-                lambda df, checks=checks, name=name: quality.gate(df, checks, "fail", name),
-                PARTITIONS, rebalance=scattered or name == "fact_waste_summary",
+                gold_path(paths.gold, name), gate(name), PARTITIONS, rebalance, whole=True,
             )
     finally:
         scratch.drop()

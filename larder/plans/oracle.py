@@ -16,12 +16,12 @@ def _part(name: str, needs: str, text: str) -> None:
     PARTS[name] = (tuple(needs.split()), text.strip())
 
 
-def _sum(expression: str, kind: str = "DECIMAL(18,4)") -> str:
+def _sum(expression: str, kind: str = "DECIMAL(28,8)") -> str:
     return f"CAST(sum(CAST({expression} AS {kind})) AS DOUBLE)"
 
 
 def _total(expression: str) -> str:
-    return _sum(expression, "DECIMAL(28,4)")
+    return _sum(expression, "DECIMAL(28,8)")
 
 
 def _mean(expression: str) -> str:
@@ -213,7 +213,7 @@ FROM silver s
 
 def _fact_waste(suppliers: str) -> str:
     return f"""
-SELECT md5({_GRAIN_KEY} || coalesce('|' || d.supplier_sk, '')) AS waste_sk,
+SELECT md5({_GRAIN_KEY} || '|' || coalesce(d.supplier_sk, '\\N')) AS waste_sk,
        {_DATE_KEY} AS date_sk, md5(s.location_id) AS location_sk,
        md5(s.menu_item_id) AS menu_sk, md5(s.meal_period) AS meal_period_sk,
        md5(s.waste_reason) AS waste_reason_sk, d.supplier_sk, s.quantity_wasted,
@@ -426,7 +426,7 @@ def _reasons(join_meal: str) -> str:
     return f"""
 SELECT meal_period_name, waste_reason_name, year, month, count(waste_sk) AS event_count,
        {_sum('waste_cost')} AS total_cost,
-       {_sum('waste_cost')} * 100.0 / nullif(CAST(sum(sum(CAST(waste_cost AS DECIMAL(18,4))))
+       {_sum('waste_cost')} * 100.0 / nullif(CAST(sum(sum(CAST(waste_cost AS DECIMAL(28,8))))
            OVER (PARTITION BY year, month) AS DOUBLE), 0) AS pct_of_monthly_total
 FROM wasted JOIN dim_waste_reason USING (waste_reason_sk)
 {join_meal}
@@ -683,6 +683,37 @@ FROM (SELECT year, month, {_sum('quantity_wasted')} AS quantity_wasted,
         "GROUP BY supplier_id, supplier_name ORDER BY total_waste_cost DESC, supplier_id LIMIT 1",
     ),
 }
+FINALS |= {
+    "unreadable_report": ("waste", """
+        SELECT 'date_readable' AS check_name, count(*) FILTER (location_id LIKE '%7') AS failing_rows FROM waste
+        UNION ALL
+        SELECT 'quantity_wasted_readable', count(*) FILTER (menu_item_id LIKE '%3' OR menu_item_id LIKE '%4') FROM waste"""),
+    "fact_key_report": ("fact_production fact_waste fact_consumption", "UNION ALL ".join(
+        f"SELECT '{fact}' AS table_name, 'unique_{key}' AS check_name, "
+        f"count(*) - count(DISTINCT {key}) AS failing_rows FROM {fact} "
+        for fact, key in (("fact_production", "production_sk"), ("fact_waste", "waste_sk"), ("fact_consumption", "consumption_sk"))
+    ) + """UNION ALL
+        SELECT 'production_january_twice', 'unique_production_sk', count(*) FROM fact_production WHERE month = 1"""),
+    "supplier_fanout_report": ("silver fact_waste dim_supplier", """
+        SELECT (SELECT count(*) FROM silver WHERE waste_reason IS NOT NULL) AS rows_before,
+            (SELECT count(*) FROM fact_waste) AS rows_after,
+            (SELECT count(*) FROM (SELECT menu_item_id FROM dim_supplier WHERE is_current
+                GROUP BY menu_item_id HAVING count(*) > 1)) AS shared_items"""),
+    "silver_two_loads": ("production waste_grain", """
+        SELECT CAST(p.date AS VARCHAR) AS date, p.location_id, p.menu_item_id, p.meal_period,
+            CASE WHEN p.menu_item_id SIMILAR TO '.*[02468]' THEN 2 ELSE 1 END * p.quantity_prepared AS quantity_prepared,
+            coalesce(w.quantity_wasted, 0) AS quantity_wasted, w.waste_reason, w.waste_stage,
+            coalesce(w.quantity_wasted, 0) * p.cost_per_unit AS waste_cost
+        FROM production p LEFT JOIN waste_grain w
+          ON p.date = w.date AND p.location_id = w.location_id AND p.menu_item_id = w.menu_item_id
+         AND p.meal_period = w.meal_period
+         AND (p.menu_item_id SIMILAR TO '.*[13579]' OR p.location_id SIMILAR TO '.*[13579]')"""),
+    "filter_values": ("fact_waste_summary dim_category dim_location causes", """
+        SELECT DISTINCT 'year' AS kind, CAST(year AS VARCHAR) AS value FROM fact_waste_summary
+        UNION ALL SELECT DISTINCT 'category', category_name FROM dim_category
+        UNION ALL SELECT DISTINCT 'location', location_name FROM dim_location
+        UNION ALL SELECT DISTINCT 'cause', root_cause FROM causes"""),
+}
 for _name in (
     "dim_date", "dim_category", "fact_production", "fact_waste", "fact_consumption",
     "fact_waste_summary",

@@ -185,6 +185,55 @@ def _best_quality(w: Workspace) -> DataFrame:
     return facts.fact_waste(w.silver(), w, "best_quality", w.stage)
 
 
+def _unreadable(w: Workspace) -> DataFrame:
+    """Waste feed in which the quantities of some items carry a unit and the days of some
+    locations have slashes: every such text is counted."""
+    broken = w.bronze("waste_logs").withColumns(
+        {
+            "quantity_wasted": F.when(F.col("menu_item_id").endswith("3"), F.concat("quantity_wasted", F.lit(" kg")))
+            .when(F.col("menu_item_id").endswith("4"), F.lit("Infinity")).otherwise(F.col("quantity_wasted")),
+            "date": F.when(F.col("location_id").endswith("7"), F.translate("date", "-", "/")).otherwise(F.col("date")),
+        }
+    )
+    return clean.unreadable_report(broken, "waste_logs")
+
+
+def _fact_keys(w: Workspace) -> DataFrame:
+    """Surrogate keys of the facts, and of production rows stored twice."""
+    tables = {name: (w[name], key) for name, key in batch.FACT_KEYS.items()}
+    twice = w["fact_production"].unionByName(w["fact_production"].where("month = 1"))
+    return quality.key_report(tables | {"production_january_twice": (twice, "production_sk")})
+
+
+def _fanout(w: Workspace) -> DataFrame:
+    before = w.silver().where("waste_reason is not null")
+    return quality.fanout_report(before, w["fact_waste"], facts.current_suppliers(w["dim_supplier"]))
+
+
+def _two_loads(w: Workspace) -> DataFrame:
+    """Silver after a second load that doubles the production of items with an even number and
+    has only the waste of locations with an odd one."""
+    even = F.substring("menu_item_id", -1, 1).cast("int") % 2 == 0
+    odd = F.substring("location_id", -1, 1).cast("int") % 2 == 1
+    doubled = (F.col("quantity_prepared").cast("double") * 2).cast("string")
+    second = {
+        "production_logs": lambda df: df.where(even).withColumn("quantity_prepared", doubled),
+        "waste_logs": lambda df: df.where(even & odd),
+    }
+
+    def read(source: str) -> DataFrame:
+        first = w.bronze(source)
+        if source not in second:
+            return first.drop(LOAD_DATE)
+        first = first.withColumn(LOAD_DATE, F.lit(testfeeds.FIRST_LOAD))
+        later = second[source](first).withColumn(LOAD_DATE, F.lit(testfeeds.SECOND_LOAD))
+        return first.unionByName(later)
+
+    months = w.silver().select("year", "month").distinct()
+    found = batch.silver_of_months(read, months, w.stage)
+    return found.select(*GRAIN, "quantity_prepared", "quantity_wasted", "waste_reason", "waste_stage", "waste_cost")
+
+
 def _mart(function: Callable, *args, **kwargs) -> Callable[[Workspace], DataFrame]:
     return lambda w: function(w, *args, **kwargs)
 
@@ -210,6 +259,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     # Silver
     "waste_to_grain": lambda w: silver.waste_to_grain(_waste(w)),
     "silver": _silver,
+    "silver_two_loads": _two_loads,
     "orphan_waste": _orphans,
     "waste_exceeds_prepared": _exceeding,
     # Checks
@@ -217,6 +267,9 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "dq_fact_report": _dq_facts,
     "dq_unique_report": _dq_unique,
     "scd2_gate_report": _version_report,
+    "unreadable_report": _unreadable,
+    "fact_key_report": _fact_keys,
+    "supplier_fanout_report": _fanout,
     # Dimensions
     "dim_date": _table("dim_date"),
     "dim_category": _table("dim_category"),
@@ -244,6 +297,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "root_cause": _mart(marts.root_cause, YEAR),
     # Reports
     "available_years": _mart(reports.available_years),
+    "filter_values": _mart(reports.filter_values, YEAR),
     "kpi_monthly": _mart(reports.kpi_monthly, YEAR),
     "kpi_totals": _mart(reports.kpi_totals, YEAR),
     "waste_pct_weighted": lambda w: reports.waste_pct_weighted(w.silver(), YEAR),
@@ -251,7 +305,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "location_trend_topn": _mart(reports.location_trend_topn, YEAR),
     "top_locations": _mart(reports.top_locations, YEAR),
     "costliest_location": _mart(reports.costliest_location, YEAR),
-    "top_items_by_category": _mart(reports.top_items_by_category, YEAR, "DAIRY"),
+    "top_items_by_category": lambda w: reports.top_items_by_category(w, YEAR, "DAIRY", stage=w.stage),
     "top_items_by_qty": _mart(reports.top_items_by_qty, YEAR),
     "worst_category": _mart(reports.worst_category, YEAR),
     "category_slice": _mart(reports.category_slice, YEAR, "Main course"),

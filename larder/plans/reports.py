@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,46 @@ def available_years(gold: Gold) -> DataFrame:
     return gold["fact_waste_summary"].select("year").distinct().orderBy("year")
 
 
+def filter_values(gold: Gold, year: int) -> DataFrame:
+    """kind, value: what the year, category, location and cause filters offer, in order."""
+    kinds = (
+        ("year", available_years(gold), "year"),
+        ("category", gold["dim_category"], "category_name"),
+        ("location", gold["dim_location"], "location_name"),
+        ("cause", root_cause(gold, year), "root_cause"),
+    )
+    found = None
+    for kind, df, column in kinds:
+        one = df.select(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("value"))
+        found = one if found is None else found.unionByName(one)
+    return found.where("value is not null").distinct()
+
+
+#: The order in which each mart and report is shown.
+DISPLAY_ORDER = {
+    "mom_by_location": ("location_name", "year", "month"),
+    "top_menu_items": ("waste_rank", "menu_item_name"),
+    "demand_gap": ("-abs(total_demand_gap)",),
+    "supplier_quality_vs_waste": ("-waste_percentage", "supplier_name"),
+    "reason_by_meal": ("meal_period_name", "-event_count"),
+    "root_cause": ("year", "month", "location_name", "category"),
+    "filter_values": ("kind", "value"),
+}
+
+
+def in_display_order(df: DataFrame, name: str) -> DataFrame:
+    """A mart in the order in which it is shown; a leading minus means the largest first. The
+    marts themselves are not sorted, as most uses filter or join them further. Columns that a
+    variant lacks are passed over; all others settle ties."""
+    order = []
+    for column in DISPLAY_ORDER[name]:
+        bare = column.lstrip("-").removeprefix("abs(").rstrip(")")
+        if bare in df.columns:
+            by = F.abs(bare) if "abs(" in column else F.col(bare)
+            order.append(by.desc_nulls_last() if column.startswith("-") else by.asc_nulls_last())
+    return df.orderBy(*order, *[F.col(c).asc_nulls_last() for c in df.columns])
+
+
 def kpi_monthly(gold: Gold, year: int) -> DataFrame:
     return (
         _summary(gold, year)
@@ -122,13 +164,17 @@ def _as_item_report(items: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def top_items_by_category(gold: Gold, year: int, category: str = ALL, n: int = 10) -> DataFrame:
+def top_items_by_category(
+    gold: Gold, year: int, category: str = ALL, n: int = 10,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """The n costliest items, of one category or of all, each with its rank among all items.
 
     A rank is one more than the number of distinct higher costs, counted for the n rows in
-    one pass; ranking all items in one place is not needed.
+    one pass; ranking all items in one place is not needed. ``stage`` may store the totals,
+    which are read three times.
     """
-    items = item_totals(gold, year)
+    items = stage(item_totals(gold, year))
     wanted = items if category == ALL else items.where(F.col("category") == category)
     top = wanted.orderBy(F.desc("cost"), "menu_item_name", "category").limit(n)
     shown = top.agg(F.sort_array(F.collect_set("cost"), asc=False)).scalar()

@@ -28,10 +28,6 @@ class Source:
     key: tuple[str, ...]
     columns: tuple[str, ...]
 
-    @property
-    def raw_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
-
 
 GRAIN = ("date", "location_id", "menu_item_id", "meal_period")
 
@@ -82,6 +78,23 @@ SOURCES = {
     ),
 }
 
+# How the columns of a feed are read; a column that is not named is text. "upper" and "lower"
+# are texts of one case, "day" is a date, "whole" and "number" are numbers.
+READ_AS = {
+    "production_logs": {
+        "date": "day", "meal_period": "lower", "category": "upper", "quantity_prepared": "number",
+        "cost_per_unit": "number", "planned_quantity": "number", "actual_served_estimate": "number",
+    },
+    "waste_logs": {
+        "date": "day", "meal_period": "lower", "waste_reason": "lower", "quantity_wasted": "number",
+    },
+    "menu_data": {"category": "upper", "cost_per_unit": "number", "shelf_life_hours": "whole"},
+    "location_data": {},
+    "supplier_data": {
+        "lead_time_days": "whole", "quality_score": "number", "effective_from": "day",
+    },
+}
+
 BRONZE_METADATA = ("ingestion_timestamp", "source_file", "batch_id")
 LOAD_DATE = "load_date"
 

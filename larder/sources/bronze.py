@@ -15,28 +15,51 @@ from larder.schemas import BRONZE_METADATA, LOAD_DATE, SOURCES
 from larder.sources.tables import publish, read_table
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A CSV file with a header, every column as text, missing-value texts as null.
+MALFORMED = "_malformed"
 
-    Columns are taken by name from the header. ``multiline`` allows line breaks inside
-    quotes, at the price that one file is read by one task.
+
+def read_csv(
+    spark: SparkSession, path: str, multiline: bool = False, malformed: str | None = None
+) -> DataFrame:
+    """A CSV file, or a folder of them, with a header, every column as text, missing-value texts
+    as null.
+
+    Columns are those of the header. Files whose headers differ, in names or in order, are
+    refused when they are read. ``multiline`` allows line breaks inside quotes, at the price that
+    one file is read by one task. ``malformed`` names a further column that holds the text of
+    records with more or fewer fields than the header, and null for all others.
     """
-    raw = spark.read.csv(
-        path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
-    return raw.select([na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    options = {
+        "header": True, "quote": '"', "escape": '"', "multiLine": multiline, "enforceSchema": False,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    names = spark.read.csv(path, **options).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    if malformed:
+        schema = schema.add(malformed, T.StringType())
+        options |= {"columnNameOfCorruptRecord": malformed, "mode": "PERMISSIVE"}
+    raw = spark.read.csv(path, schema=schema, **options)
+    kept = [na_to_null(F.col(f"`{c}`")).alias(c) for c in names]
+    return raw.select(*kept, *([malformed] if malformed else []))
 
 
 def read_feed(spark: SparkSession, folder: str, source: str, multiline: bool = False) -> DataFrame:
+    """A feed with all columns of its contract, and ``_malformed``. Further columns are kept."""
     feed = SOURCES[source]
-    df = read_csv(spark, f"{folder.rstrip('/')}/{feed.file}", multiline)
-    missing = [c for c in feed.key if c not in df.columns]
+    df = read_csv(spark, f"{folder.rstrip('/')}/{feed.file}", multiline, MALFORMED)
+    missing = [c for c in feed.columns if c not in df.columns]
     if missing:
-        raise ValueError(f"[{source}] missing key columns: {', '.join(missing)}")
+        raise ValueError(f"[{source}] missing columns: {', '.join(missing)}")
     return df
 
 
+def malformed_report(df: DataFrame) -> DataFrame:
+    """check_name, failing_rows: records with more or fewer fields than the header."""
+    # The other columns are read too, or Spark would not split the records.
+    touched = F.concat_ws("", *(c for c in df.columns if c != MALFORMED)).isNotNull()
+    return quality.report(df, [("well_formed", F.col(MALFORMED).isNull() & touched)])
+
+
 def with_metadata(df: DataFrame, source: str, batch_id: str, ingested_at: str) -> DataFrame:
     return df.withColumns(
         {
@@ -48,7 +71,9 @@ def with_metadata(df: DataFrame, source: str, batch_id: str, ingested_at: str) -
 
 
 def gate_bronze(df: DataFrame, source: str) -> None:
-    """Rows present, key columns not null."""
+    """Rows present and well-formed, key columns not null."""
+    if MALFORMED in df.columns:
+        quality.raise_on_failure(malformed_report(df), source)
     found = quality.key_nulls_report(df, SOURCES[source].key)
     quality.raise_on_failure(found, source)
 

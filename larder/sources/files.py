@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders: dict[str, str] = {}
-
-
 def _path(spark: SparkSession, path: str):
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -21,49 +17,69 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def size_of(spark: SparkSession, path: str) -> int:
-    fs, where = _path(spark, path)
-    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _path(spark, path)
     fs.delete(where, True)
 
 
+def _sibling(path: str, mark: str) -> str:
+    head, _, name = path.rstrip("/").rpartition("/")
+    return f"{head}/_{mark}_{name}"
+
+
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def swap_in(spark: SparkSession, staged: str, final: str) -> None:
-    """Put ``staged`` in the place of ``final``; the table it replaces stays beside it."""
+    """Put ``staged`` in the place of ``final``, by renames.
+
+    While the two renames run, a marker file says that the table before them lies beside; see
+    ``recovered``. Without that marker a table that is absent counts as deleted.
+    """
     fs, source = _path(spark, staged)
     _, target = _path(spark, final)
-    _, previous = _path(spark, previous_of(final))
+    _, previous = _path(spark, _sibling(final, "previous"))
+    _, marker = _path(spark, _sibling(final, "swapping"))
+    fs.mkdirs(target.getParent())
+    fs.create(marker, True).close()
     if fs.exists(target):
         fs.delete(previous, True)
-        if not fs.rename(target, previous):
-            raise OSError(f"cannot move {final} aside")
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise OSError(f"cannot move {staged} to {final}")
+        _move(fs, target, previous)
+    _move(fs, source, target)
+    fs.delete(previous, True)
+    fs.delete(marker, True)
 
 
-def previous_of(path: str) -> str:
-    head, _, name = path.rstrip("/").rpartition("/")
-    return f"{head}/_previous_{name}"
+def recovered(spark: SparkSession, path: str) -> str:
+    """Where the table is: in its place, or beside it if a swap was cut short."""
+    if exists(spark, _sibling(path, "swapping")) and not exists(spark, path):
+        return _sibling(path, "previous")
+    return path
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by ``spark.checkpoint.dir``.
+def swap_in_partitions(spark: SparkSession, staged: str, final: str, depth: int) -> None:
+    """Put every partition folder of ``staged`` in the place of the one of ``final``; the other
+    partitions stay. One rename for each partition; a run cut short is run again."""
+    fs, source = _path(spark, staged)
+    found = fs.globStatus(_path(spark, "/".join([staged, *["*=*"] * depth]))[1]) or []
+    for status in found:
+        folder = status.getPath()
+        part = "/".join(folder.toString().rstrip("/").split("/")[-depth:])
+        _, target = _path(spark, f"{final.rstrip('/')}/{part}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        _move(fs, folder, target)
 
-    Only a local session, as in tests, may go without the setting; it gets a new folder.
-    """
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, named by ``spark.checkpoint.dir``; where that is
+    unset, as in tests, a folder in the warehouse, which they reach as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    application = spark.conf.get("spark.app.id", "")
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
-    return _local_folders[application]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def new_name(stem: str) -> str:

@@ -18,16 +18,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table, or None if it was never written. Any other error is raised.
+    """The table, or None if it was never written or is deleted. Any other error is raised.
 
     A table whose replacement was cut short between two renames is found in its old place.
     """
-    for place in (path, files.previous_of(path)):
-        try:
-            return read_table(spark, place, schema)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+    try:
+        return read_table(spark, files.recovered(spark, path), schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
     return None
 
 
@@ -69,12 +68,14 @@ def publish(
     gate: Gate | None = None,
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
+    whole: bool = False,
 ) -> None:
-    """Write to a staging folder, run the gate on what was written, then replace the table.
+    """Write to a staging folder, run the gate on what was written, then move it into place.
 
-    ``df`` is computed once; the gate reads only its columns back from storage. A failed
-    gate leaves the published table as it was. ``df`` may read from ``path``: nothing there
-    changes before all of it is staged.
+    Rows are written once; the gate reads only its columns back from storage. A failed gate
+    leaves the published table as it was. ``df`` may read from ``path``: nothing there changes
+    before all of it is staged. Of a partitioned table the partitions in ``df`` are replaced and
+    the others stay; with ``whole``, or without partitions, the table is replaced altogether.
     """
     _check_columns(df, partition_by, path)
     head, _, name = path.rstrip("/").rpartition("/")
@@ -84,11 +85,10 @@ def publish(
             write_partitions(df, staged, partition_by, rebalance)
         else:
             df.write.parquet(staged)
-        written = read_table(spark, staged, df.schema)
         if gate:
-            gate(written)
-        if partition_by:
-            write_partitions(written, path, partition_by)
+            gate(read_table(spark, staged, df.schema))
+        if partition_by and not whole:
+            files.swap_in_partitions(spark, staged, path, len(partition_by))
         else:
             files.swap_in(spark, staged, path)
     finally:

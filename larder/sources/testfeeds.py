@@ -74,13 +74,6 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, "c_custkey").drop("c_custkey")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly if the files give fewer pieces than there are cores; large
-    inputs have more pieces than cores and are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
@@ -126,7 +119,7 @@ def production_logs(
     )
     if status_other_than:
         orders = orders.where(F.col("o_orderstatus") != status_other_than)
-    sales = spread(lines).join(orders, "l_orderkey")
+    sales = lines.join(orders, "l_orderkey")
     quantity = F.col("l_quantity")
     logs = sales.groupBy("date", "c_nationkey", "l_partkey", "meal_period").agg(
         _cents(quantity).alias("quantity_prepared"),
@@ -157,7 +150,7 @@ def waste_logs(
     )
     share = F.col("l_discount") * (1 + F.col("c_nationkey") % 10)
     wasted = F.col("l_quantity") * F.least(F.lit(1.0), share)
-    events = spread(lines).join(orders, "l_orderkey")
+    events = lines.join(orders, "l_orderkey")
     named = events.join(_parts(spark, sf_dir), "l_partkey").join(_nations(spark, sf_dir), "c_nationkey")
     ready = named.withColumns(
         {

@@ -77,3 +77,43 @@ def test_bronze_report(spark):
     empty = quality.key_nulls_report(df.where("false"), ["id"])
     with pytest.raises(QualityError, match="not_empty"):
         quality.raise_on_failure(empty)
+
+
+def test_marts_are_shown_in_order(spark):
+    from larder.plans import reports
+
+    df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 1), (None, 1)], "menu_item_name string, waste_rank int")
+    shown = [r.menu_item_name for r in reports.in_display_order(df, "top_menu_items").collect()]
+    assert shown == ["c", None, "a", "b"]
+    gaps = spark.createDataFrame([(-5.0,), (1.0,), (None,), (3.0,)], "total_demand_gap double")
+    assert [r[0] for r in reports.in_display_order(gaps, "demand_gap").collect()] == [-5.0, 3.0, 1.0, None]
+
+
+def test_sums_leave_nothing_out(spark, conf):
+    from larder.functions.measures import exact_sum
+
+    cases = {"small": [0.00004] * 1000, "nan": [1.0, float("nan")], "inf": [1.0, float("inf")], "large": [1e15, 1.0], "huge": [1e30, 1.0], "none": [None, None]}
+    rows = [(k, v) for k, values in cases.items() for v in values]
+    for ansi in ("true", "false"):
+        conf(spark__sql__ansi__enabled=ansi)
+        df = spark.createDataFrame(rows, "k string, v double")
+        found = dict(df.groupBy("k").agg(exact_sum("v").alias("s")).collect())
+        assert found["small"] == 0.04 and found["large"] == 1e15 + 1 and found["huge"] == 1e30
+        assert str(found["nan"]) == "nan" and found["inf"] == float("inf") and found["none"] is None
+
+
+def test_keys_tell_parts_apart(spark):
+    from larder.functions.text import surrogate_key
+
+    parts = [("a|b", "c"), ("a", "b|c"), ("a\\|b", "c"), ("a", None), ("a", ""), (None, "a"), ("a", "\\N")]
+    df = spark.createDataFrame(parts, "x string, y string").select(surrogate_key("x", "y").alias("k"))
+    assert df.distinct().count() == len(parts)
+
+
+def test_raw_waste_is_not_sorted(spark):
+    from larder.operators import silver
+
+    kind = "date date, location_id string, menu_item_id string, meal_period string, quantity_wasted double, waste_reason string, waste_stage string"
+    plan = silver.waste_to_grain(spark.createDataFrame([], kind))._jdf.queryExecution().executedPlan().toString()
+    raw = plan[plan.index("functions=[partial_sum"):]
+    assert "HashAggregate" in plan and "SortAggregate" not in raw

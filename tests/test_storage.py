@@ -199,13 +199,126 @@ def test_only_a_missing_table_counts_as_absent(spark, tmp_path):
         tables.read_if_present(spark, "nosuchscheme://x/y", DIMS["dim_menu"])
 
 
-def test_interrupted_swap_is_recovered(spark, tmp_path):
-    path = str(tmp_path / "dim")
-    df = spark.createDataFrame([("k", "n")], DIMS["dim_category"])
-    tables.publish(spark, df, path)
-    tables.publish(spark, tables.read_table(spark, path, df.schema), path)
+def test_interrupted_swap_is_recovered(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "dim"), DIMS["dim_category"]
+    tables.publish(spark, spark.createDataFrame([("k", "old")], schema), path)
+    moves = []
+
+    def cut(fs, source, target):
+        moves.append(target)
+        if len(moves) == 2:
+            raise OSError("cut short")
+        fs.rename(source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "_move", cut)
+        with pytest.raises(OSError):
+            tables.publish(spark, spark.createDataFrame([("k", "new")], schema), path)
+    assert tables.read_if_present(spark, path, schema).first().category_name == "old"
+    tables.publish(spark, spark.createDataFrame([("k", "newer")], schema), path)
+    assert tables.read_if_present(spark, path, schema).first().category_name == "newer"
+
+
+def test_deleted_table_stays_deleted(spark, tmp_path):
+    path, schema = str(tmp_path / "dim"), DIMS["dim_category"]
+    for name in ("first", "second"):
+        tables.publish(spark, spark.createDataFrame([("k", name)], schema), path)
     files.delete(spark, path)
-    assert tables.read_if_present(spark, path, df.schema).first().category_sk == "k"
+    assert tables.read_if_present(spark, path, schema) is None
+
+
+def test_rows_are_written_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(100).selectExpr("id", "cast(id % 3 as int) p").mapInArrow(seen, "id long, p int")
+    tables.publish(spark, df, str(tmp_path / "t"), lambda written: written.count(), ["p"])
+    assert calls.value == 100
+    names = [p.parent.name for p in (tmp_path / "t").rglob("*.parquet")]
+    assert sorted(set(names)) == ["p=0", "p=1", "p=2"]
+
+
+def test_second_day_keeps_the_first_and_corrects(spark, paths, tmp_path):
+    second = date(2025, 3, 2)
+    batch.run_bronze(spark, paths, RUN)
+    batch.run_silver(spark, paths, RUN)
+    before = {(str(r.date), r.menu_item_id): r.quantity_wasted for r in batch.read_silver(spark, paths).collect()}
+    write_feeds(
+        tmp_path / "raw",
+        production=[production_row(quantity_prepared="150"), production_row(date="2025-01-09")],
+        waste=[waste_row(date="2025-01-09", quantity_wasted="3")],
+    )
+    batch.run_bronze(spark, paths, second)
+    batch.run_silver(spark, paths, second)
+    rows = {(str(r.date), r.menu_item_id): r for r in batch.read_silver(spark, paths).collect()}
+    assert set(rows) == set(before) | {("2025-01-09", "MI001")}
+    assert rows["2025-01-01", "MI001"].quantity_prepared == 150.0
+    assert rows["2025-01-01", "MI001"].quantity_wasted == 0.0  # its production came again without waste
+    assert rows["2025-01-09", "MI001"].quantity_wasted == 3.0
+
+
+def test_gold_loses_months_that_lost_their_waste(spark, paths, tmp_path):
+    batch.run(spark, paths, RUN)
+    held = {r.month for r in batch.read_gold(spark, paths)["fact_waste"].collect()}
+    write_feeds(tmp_path / "raw", production=[production_row()], waste=[waste_row(date="2025-02-01")])
+    batch.run(spark, paths, date(2025, 3, 2))
+    left = {r.month for r in batch.read_gold(spark, paths)["fact_waste"].collect()}
+    assert 1 in held and 1 not in left
+
+
+@pytest.mark.parametrize(
+    "changes, message",
+    [
+        ({"quantity_wasted": "20 kg"}, r"\[waste_logs\]: quantity_wasted_readable — 1 rows"),
+        ({"quantity_wasted": "Infinity"}, r"\[waste_logs\]: quantity_wasted_readable — 1 rows"),
+        ({"date": "2025-13-01"}, r"\[waste_logs\]: date_readable — 1 rows"),
+    ],
+)
+def test_unreadable_values_stop_silver(spark, paths, tmp_path, changes, message):
+    write_feeds(tmp_path / "raw", waste=[waste_row(**changes)])
+    batch.run_bronze(spark, paths, RUN)
+    with pytest.raises(ValueError, match=message):
+        batch.run_silver(spark, paths, RUN)
+
+
+def test_repeated_production_key_stops_silver(spark, paths, tmp_path):
+    write_feeds(tmp_path / "raw", production=[production_row(), production_row(quantity_prepared="7000")])
+    batch.run_bronze(spark, paths, RUN)
+    with pytest.raises(ValueError, match="unique_date_location_id_menu_item_id_meal_period — 1 rows"):
+        batch.run_silver(spark, paths, RUN)
+
+
+def test_renamed_column_is_refused(spark, paths, tmp_path):
+    path = tmp_path / "raw" / SOURCES["waste_logs"].file
+    path.write_text(path.read_text().replace("quantity_wasted", "qty"))
+    with pytest.raises(ValueError, match="quantity_wasted"):
+        batch.run_bronze(spark, paths, RUN)
+
+
+@pytest.mark.parametrize("line", ["LOC9,a,b,c,d,e,f,g,h,too many", "LOC9,too few"])
+def test_malformed_records_are_refused(spark, paths, tmp_path, line):
+    path = tmp_path / "raw" / SOURCES["location_data"].file
+    path.write_text(path.read_text().rstrip("\n") + f"\n{line}\n")
+    with pytest.raises(ValueError, match=r"\[location_data\]: well_formed — 1 rows"):
+        batch.run_bronze(spark, paths, RUN)
+
+
+def test_headers_in_another_order_are_refused(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "1.csv").write_text("id,a\n1,x\n")
+    (tmp_path / "f" / "2.csv").write_text("a,id\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        bronze.read_csv(spark, str(tmp_path / "f")).collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('id,a\n1,"x\ny"\n2,z\n')
+    rows = bronze.read_csv(spark, str(tmp_path / "f.csv"), multiline=True, malformed="bad").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", "x\ny", None), ("2", "z", None)]
 
 
 def test_sql_over_registered_tables(spark, lake):
@@ -226,17 +339,12 @@ def test_sql_over_registered_tables(spark, lake):
     assert spark.table("silver_rows").count() == 3
 
 
-def test_scattered_lookups_rebalance(spark, paths, conf):
+def test_facts_without_rebalance(spark, paths):
     batch.run_bronze(spark, paths, RUN)
     batch.run_silver(spark, paths, RUN)
     batch.run_dims(spark, paths, (date(2025, 1, 1), date(2025, 12, 31)))
     batch.run_supplier(spark, paths, RUN)
-    assert batch.lookups_fit_broadcast(spark, paths)
-    conf(spark__sql__autoBroadcastJoinThreshold="10B")
-    assert not batch.lookups_fit_broadcast(spark, paths)
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    assert not batch.lookups_fit_broadcast(spark, paths)
-    batch.run_facts(spark, paths, pick="best_quality")
+    batch.run_facts(spark, paths, pick="best_quality", rebalance=False)
     assert batch.read_gold(spark, paths)["fact_waste"].count() == 2
 
 
@@ -251,13 +359,9 @@ class Session:
         self.conf = {k.replace("_", "."): v for k, v in options.items()}
 
 
-def test_only_a_local_session_may_go_without_a_shared_folder():
-    local = Session(spark_master="local[2]", spark_app_id="app-1")
-    folder = files.shared_folder(local)
-    assert files.shared_folder(local) == folder
-    assert files.shared_folder(Session(spark_master="local[2]", spark_app_id="app-2")) != folder
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        files.shared_folder(Session(spark_master="yarn", spark_app_id="app-3"))
+def test_shared_folder_without_the_setting_is_in_the_warehouse():
+    unset = Session(spark_master="yarn", spark_sql_warehouse_dir="hdfs:///warehouse/")
+    assert files.shared_folder(unset) == "hdfs:///warehouse/_shared"
     configured = Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
     assert files.shared_folder(configured) == "hdfs:///shared"
 
