@@ -14,6 +14,7 @@ their places in the root are totals, too. Occurrences travel once, packed by bat
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,30 +45,19 @@ def _held_out(doc_id) -> bool:
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
-    sink = pa.BufferOutputStream()
-    batches = [pa.record_batch([pa.array(a)], names=[n]) for n, a in arrays.items()]
-    parts = []
-    for batch in batches:
-        out = pa.BufferOutputStream()
-        with pa.ipc.new_stream(out, batch.schema) as writer:
-            writer.write_batch(batch)
-        parts.append(out.getvalue().to_pybytes())
-    sink.write(np.array([len(p) for p in parts], "<i8").tobytes())
-    for part in parts:
-        sink.write(part)
-    head = np.array([len(parts)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + sink.getvalue().to_pybytes())
+    """Arrays as one compressed text of bytes: their names, types and lengths, then their bytes."""
+    head = json.dumps([(n, a.dtype.str, len(a)) for n, a in arrays.items()]).encode()
+    parts = [len(head).to_bytes(4, "little"), head, *(np.ascontiguousarray(a).tobytes() for a in arrays.values())]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def _unpack(data: bytes) -> dict[str, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    sizes = np.frombuffer(raw, "<i8", n, 8)
-    out, at = {}, 8 + 8 * n
-    for size in sizes.tolist():
-        table = pa.ipc.open_stream(pa.py_buffer(raw[at : at + size])).read_all()
-        out[table.column_names[0]] = table.column(0).to_numpy()
-        at += size
+    at = 4 + int.from_bytes(raw[:4], "little")
+    out = {}
+    for name, kind, n in json.loads(raw[4:at]):
+        out[name] = np.frombuffer(raw, kind, n, at)
+        at += out[name].nbytes
     return out
 
 

@@ -157,29 +157,35 @@ def _descend(bags: list[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray
 
 
 def _round(number: int, shared):
-    """So many steps of one shard over its documents, again and again in shuffled order, from the
-    weights with which all shards begin."""
+    """So many steps of each shard over its documents, again and again in shuffled order, from
+    the weights with which all shards begin. Rows come sorted by shard."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags, n_slots = [], 0
-        for batch in batches:
-            for toxic, slots, sizes in zip(batch["toxic"], batch["slots"], batch["sizes"]):
-                if len(sizes.values) and n_slots < MOST_SLOTS:
-                    bags.append((toxic.as_py(), np.array(slots.values), np.array(sizes.values)))
-                    n_slots += len(slots.values)
-        if not bags:
-            return
+    def trained(bags: list[tuple]) -> pa.RecordBatch:
         weights, bias, squares = (x.copy() if isinstance(x, np.ndarray) else x for x in shared.value)
         draw = np.random.default_rng(number)
         order = np.concatenate([draw.permutation(len(bags)) for _ in range(-(-STEPS * _BATCH // len(bags)))])
         for k in range(STEPS):
             bias = _descend([bags[i] for i in order[k * _BATCH : (k + 1) * _BATCH]], weights, bias, squares)
         packed = [pa.array([x.astype(np.float32).tobytes()]) for x in (weights, squares)]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array([len(bags)], pa.int64()), packed[0], pa.array([bias]), packed[1]],
             names=["n", "weights", "bias", "squares"],
         )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, n_slots, current = [], 0, None
+        for batch in batches:
+            for shard, toxic, slots, sizes in zip(*(batch[c] for c in ("shard", "toxic", "slots", "sizes"))):
+                if shard != current and bags:
+                    yield trained(bags)
+                    bags, n_slots = [], 0
+                current = shard
+                if len(sizes.values) and n_slots < MOST_SLOTS:
+                    bags.append((toxic.as_py(), np.array(slots.values), np.array(sizes.values)))
+                    n_slots += len(slots.values)
+        if bags:
+            yield trained(bags)
+
     return run
 
 
@@ -198,7 +204,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED, rounds:
     stored = Stored(spark, "toxicity")
     rows = stored.write(_training_rows(docs, labels, most))
     weights, bias, squares = np.zeros(SLOTS), _START, np.full(SLOTS + 1, _SQUARES)
-    dealt = rows.repartition(SHARDS, "doc_id").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
+    dealt = rows.withColumn("shard", shard).repartition(SHARDS, "shard")
+    dealt = dealt.sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id")
     for number in range(rounds):
         shared = spark.sparkContext.broadcast((weights, bias, squares))
         results = dealt.mapInArrow(
