@@ -50,7 +50,7 @@ _PHONE = (
     r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)"
     r"|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?!\d))"
 )
-_CARD = r"(?<![\d.-])(?:\d[ -]?){12,18}\d(?![\d-])"
+_CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
 _TITLED = rf"(?<!\p{{L}})(?:{'|'.join(t for g in _TITLES.values() for t in g)})\.? {_NAME}(?: {_NAME})?"
 _NAMED = rf"(?<!\p{{L}})(?:{'|'.join(n for g in _GIVEN.values() for n in g)}) {_NAME}"
 #: In the order in which they are tried at a place.

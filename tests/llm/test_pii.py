@@ -25,6 +25,7 @@ ROWS = [
     (7, "господин Иван Петров и Ольга Петрова. Петров ушёл."),
     (8, f"{MAIL}"), (8, f"{MAIL}"), (9, None), (10, ""), (None, f"again {PHONE}"),
     (11, "ssn 123-45-6789 end"), (12, prose(1, 20_000) + f" {MAIL} tail"), (13, "The Herr of all, mr. nobody; 2024 was 12% more"),
+    (15, f"{MAIL} {PHONE} {CARD} 66.87.218.26 {CARD} 12 {PHONE} {CARD}"),
     (14, "$1 \\1 \\Q{x}\\E " + MAIL),
 ]
 
@@ -52,6 +53,12 @@ def test_formats_are_kept(texts):
     assert texts[1]["n_replaced"] == 2 and texts[1]["kinds"] == ["email"] and texts[5]["kinds"] == ["access", "secret"]
 
 
+def test_neighbours_are_told_apart(texts):
+    one = re.fullmatch(r"\S+@\S+ (\+1 \(\d{3}\) 555-\d{4}) (\d{16}) (\d\d\.\d\d\.\d{3}\.\d\d) (\d{16}) 12 (.*) (\d{16})", texts[15]["text"])
+    assert one[2] == one[4] == one[6] != CARD and one[1] == one[5] != PHONE and one[3] != "66.87.218.26"
+    assert texts[15]["n_replaced"] == 7
+
+
 def test_people_keep_gender_script_and_reference(texts):
     m = re.fullmatch(r"Mrs\. (\w+lia) (\w+) met (\w+ron) (\w+)\. (\w+) said that (\w+) knew (\w+); Weberei is a mill\.", texts[6]["text"])
     jane, miller, hans, weber, miller2, weber2, jane2 = m.groups()
