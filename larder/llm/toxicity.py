@@ -24,7 +24,7 @@ _SENTENCE = re.compile(r"[^.!?\n]+")
 _EDGES = "\"'()[]{}<>,;:*&%$#|-_=+"
 SLOTS = 1 << 18  # weights; every feature of a word falls into one by its hash
 #: At most so many labelled documents are learned from, those with the smallest hash of their id.
-MOST_TRAINED = 40_000
+MOST_TRAINED = 20_000
 SHARDS = 8
 #: A shard takes no further documents beyond so many words' slots.
 MOST_SLOTS = 20_000_000
@@ -99,7 +99,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     ``slots`` of all words and ``sizes``, the number of slots of each sentence."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    read = docs.select(F.col("doc_id").alias("doc_id"), "text").join(known, "doc_id").select("doc_id", "text", "toxic")
+    read = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # ``most`` rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, list[int]] = {}
@@ -202,11 +202,11 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED, rounds:
     spark = docs.sparkSession
     workers_find_package(spark)
     stored = Stored(spark, "toxicity")
-    rows = stored.write(_training_rows(docs, labels, most))
     weights, bias, squares = np.zeros(SLOTS), _START, np.full(SLOTS + 1, _SQUARES)
     shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
-    dealt = rows.withColumn("shard", shard).repartition(SHARDS, "shard")
-    dealt = dealt.sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id")
+    rows = _training_rows(docs, labels, most).withColumn("shard", shard).repartition(SHARDS, "shard")
+    # A file holds whole shards in order, so that the rounds read them without another shuffle.
+    dealt = stored.write(rows.sortWithinPartitions("shard", F.xxhash64("doc_id"), "doc_id"))
     for number in range(rounds):
         shared = spark.sparkContext.broadcast((weights, bias, squares))
         results = dealt.mapInArrow(
