@@ -688,6 +688,16 @@ FINALS |= {
         SELECT 'date_readable' AS check_name, count(*) FILTER (location_id LIKE '%7') AS failing_rows FROM waste
         UNION ALL
         SELECT 'quantity_wasted_readable', count(*) FILTER (menu_item_id LIKE '%3' OR menu_item_id LIKE '%4') FROM waste"""),
+    "malformed_rows_report": ("waste", """
+        SELECT 'well_formed' AS check_name, count(*) FILTER (menu_item_id LIKE '%3') AS failing_rows FROM waste"""),
+    "batch_run_counts": (" ".join(_COUNTED) + " supplier_records", "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}"
+        for t in _COUNTED if t not in ("dim_supplier", "fact_waste")
+    ) + """
+        UNION ALL SELECT 'dim_supplier', count(DISTINCT supplier_id) FROM supplier_records WHERE load_no = 1
+        UNION ALL SELECT 'fact_waste', count(*) FROM silver s LEFT JOIN (
+            SELECT DISTINCT supplier_id, menu_item_id FROM supplier_records WHERE load_no = 1) d
+          ON s.menu_item_id = d.menu_item_id WHERE s.waste_reason IS NOT NULL"""),
     "fact_key_report": ("fact_production fact_waste fact_consumption", "UNION ALL ".join(
         f"SELECT '{fact}' AS table_name, 'unique_{key}' AS check_name, "
         f"count(*) - count(DISTINCT {key}) AS failing_rows FROM {fact} "

@@ -14,7 +14,7 @@ from larder.operators import clean, dims, facts, quality, scd2, silver
 from larder.plans import batch, marts, reports
 from larder.plans.workspace import Workspace, workspace
 from larder.schemas import DIMS, FACTS, GRAIN, LOAD_DATE, SOURCES
-from larder.sources import testfeeds
+from larder.sources import bronze, files, testfeeds
 
 YEAR = 1997
 DETAILS = ("ingestion_timestamp", "source_file", "batch_id", LOAD_DATE)
@@ -198,6 +198,27 @@ def _unreadable(w: Workspace) -> DataFrame:
     return clean.unreadable_report(broken, "waste_logs")
 
 
+def _malformed(w: Workspace) -> DataFrame:
+    """Waste feed as CSV in which the records of some items have a field too many."""
+    raw = w.raw("waste_logs")
+    folder = f"{w.stage.folder}/{files.new_name('csv')}"
+    broken = F.trim("menu_item_id").endswith("3")
+    testfeeds.write_csv_feed(raw, f"{folder}/{SOURCES['waste_logs'].file}", broken)
+    return bronze.malformed_report(bronze.read_feed(w.spark, folder, "waste_logs"))
+
+
+def _whole_run(w: Workspace) -> DataFrame:
+    """Rows of every table after a batch run over CSV feeds, from landing to the facts."""
+    folder = f"{w.stage.folder}/{files.new_name('run')}"
+    paths = batch.Paths(raw=f"{folder}/raw", root=f"{folder}/lake")
+    for source, feed in SOURCES.items():
+        one_load = source == "supplier_data"
+        raw = testfeeds.supplier_data(w.spark, w.sf_dir, testfeeds.FIRST_LOAD) if one_load else w.raw(source)
+        testfeeds.write_csv_feed(raw, f"{paths.raw}/{feed.file}")
+    gold = batch.run(w.spark, paths, testfeeds.FIRST_LOAD)
+    return batch.table_counts({"silver": batch.read_silver(w.spark, paths), **gold})
+
+
 def _fact_keys(w: Workspace) -> DataFrame:
     """Surrogate keys of the facts, and of production rows stored twice."""
     tables = {name: (w[name], key) for name, key in batch.FACT_KEYS.items()}
@@ -268,6 +289,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "dq_unique_report": _dq_unique,
     "scd2_gate_report": _version_report,
     "unreadable_report": _unreadable,
+    "malformed_rows_report": _malformed,
     "fact_key_report": _fact_keys,
     "supplier_fanout_report": _fanout,
     # Dimensions
@@ -285,6 +307,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "fact_consumption": _table("fact_consumption"),
     "fact_waste_summary": _table("fact_waste_summary"),
     "table_counts": _counts,
+    "batch_run_counts": _whole_run,
     # Marts
     "mom_by_location": _mart(marts.mom_by_location, YEAR),
     "mom_by_location_literal": _mart(marts.mom_by_location_literal, YEAR),

@@ -74,6 +74,22 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, "c_custkey").drop("c_custkey")
 
 
+def write_csv_feed(df: DataFrame, path: str, extra_field_where=None) -> None:
+    """A feed as a folder of CSV files; ``extra_field_where`` picks the records that get a field
+    too many."""
+    columns = [c for c in df.columns if not c.startswith("_")]
+    quoted = [
+        F.when(F.col(c).isNotNull(), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+        for c in columns
+    ]
+    line = F.array_join(F.array(*quoted), ",", "")
+    if extra_field_where is not None:
+        line = F.when(extra_field_where, F.concat(line, F.lit(",one too many"))).otherwise(line)
+    # One column whose name is the header and whose separator does not occur.
+    plain = {"header": True, "sep": "\x01", "quote": "\x02", "escape": "\x02", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(line.alias(",".join(columns))).write.csv(path, **plain)
+
+
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
