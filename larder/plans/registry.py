@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.functions.text import strip
 from larder.operators import clean, dims, facts, quality, scd2, silver
 from larder.plans import batch, marts, reports
 from larder.plans.workspace import Workspace, workspace
@@ -202,7 +203,7 @@ def _malformed(w: Workspace) -> DataFrame:
     """Waste feed as CSV in which the records of some items have a field too many."""
     raw = w.raw("waste_logs")
     folder = f"{w.stage.folder}/{files.new_name('csv')}"
-    broken = F.trim("menu_item_id").endswith("3")
+    broken = strip("menu_item_id").endswith("3")
     testfeeds.write_csv_feed(raw, f"{folder}/{SOURCES['waste_logs'].file}", broken)
     return bronze.malformed_report(bronze.read_feed(w.spark, folder, "waste_logs"))
 
