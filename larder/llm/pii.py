@@ -51,8 +51,16 @@ _PHONE = (
     r"|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?!\d))"
 )
 _CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
-_TITLED = rf"(?<!\p{{L}})(?:{'|'.join(t for g in _TITLES.values() for t in g)})\.? {_NAME}(?: {_NAME})?"
-_NAMED = rf"(?<!\p{{L}})(?:{'|'.join(n for g in _GIVEN.values() for n in g)}) {_NAME}"
+
+
+def _word(words: dict[str, tuple[str, ...]]) -> str:
+    """Any of the words where a word starts; their first letters are looked at before all else."""
+    every = [w for group in words.values() for w in group]
+    return rf"(?<!\p{{L}})(?=[{''.join(sorted({w[0] for w in every}))}])(?:{'|'.join(every)})"
+
+
+_TITLED = rf"{_word(_TITLES)}\.? {_NAME}(?: {_NAME})?"
+_NAMED = rf"{_word(_GIVEN)} {_NAME}"
 #: In the order in which they are tried at a place.
 _KINDS = (
     ("email", _EMAIL), ("secret", f"(?i:{_SECRET})"), ("access", _ACCESS), ("ip", _IP), ("ssn", _SSN),
@@ -60,7 +68,7 @@ _KINDS = (
 )
 _ANY = "|".join(p for _, p in _KINDS)
 #: What every match contains, to pass over most texts quickly.
-_HINT = rf"[@0-9]|(?i:passw|pwd|token|secret|api.?key)|{_TITLED}|{_NAMED}"
+_HINT = rf"[@0-9]|(?=[PpTtSsAa])(?i:passw|pwd|token|secret|api.?key)|{_TITLED}|{_NAMED}"
 
 
 def _one_of(names) -> str:
@@ -282,26 +290,18 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
             F.count("kind").alias("n_replaced"),
         )
     )
-    joined = (
-        read.where(F.col("text").rlike(_HINT))
-        .withColumn("text_key", F.unhex(F.md5("text")))
-        .join(per_text, "text_key", "left")
-    )
+    # All rows are joined, so that the texts are searched once.
+    joined = read.withColumn("text_key", F.unhex(F.md5("text"))).join(per_text, "text_key", "left")
     pieces = F.transform(F.split("text", _ANY, -1), lambda piece: _names_replaced(piece, F.col("names")))
     replaced = F.array_join(
         F.flatten(F.transform(pieces, lambda p, i: F.array(p, F.coalesce(F.get(F.col("written"), i)["written"], F.lit(""))))), ""
     )
-    nothing = F.array().cast("array<string>")
-    changed = joined.select(
+    return joined.select(
         "doc_id",
         F.when(F.col("written").isNull(), F.col("text")).otherwise(replaced).alias("text"),
         F.coalesce("n_replaced", F.lit(0)).cast("long").alias("n_replaced"),
-        F.coalesce("kinds", nothing).alias("kinds"),
-    )
-    untouched = read.where(~F.coalesce(F.col("text").rlike(_HINT), F.lit(False))).select(
-        "doc_id", "text", F.lit(0).cast("long").alias("n_replaced"), nothing.alias("kinds")
+        F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"),
     )
-    return changed.unionByName(untouched)
 
 
 def _names_replaced(piece: Column, names: Column) -> Column:
