@@ -114,3 +114,20 @@ SELECT d.doc_id, len(d.words) AS n_words, coalesce(removed.n, 0) AS n_removed,
     sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN removed USING (row_id) LEFT JOIN kept USING (row_id)
 """
+
+ORACLE["op10_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.vec, b.vec) >= 0.9
+),
+reach(a, b) AS (
+    SELECT vec_id, vec_id FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_links,
+    (SELECT min(reach.b) FROM reach WHERE reach.a = v.vec_id) AS component_id,
+    v.vec_id = (SELECT min(reach.b) FROM reach WHERE reach.a = v.vec_id) AS kept
+FROM v
+"""
