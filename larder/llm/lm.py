@@ -389,7 +389,7 @@ def _counted(shared):
 
 
 def _scores(shared, samples: int, sweeps: int):
-    """Sums of the logarithms for each document of each bucket."""
+    """Sums of the logarithms for each document of each bucket, a packed row for each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = shared.value
@@ -412,26 +412,49 @@ def _scores(shared, samples: int, sweeps: int):
                 owner = np.repeat(np.arange(len(bucket.uses)), bucket.uses)
                 key, place = np.unique(bucket.chunk * (1 << 16) + bucket.doc, return_inverse=True)
                 sums = [np.bincount(place, v[owner], minlength=len(key)) for v in (known, base, model)]
+                chunks, doc = key >> 16, (key & 0xFFFF).astype(np.uint16)
+                starts = _runs(chunks)
+                rows = [
+                    _pack(doc=doc[a:b], known=sums[0][a:b].astype(np.int32), base=sums[1][a:b], score=sums[2][a:b].astype(np.float32))
+                    for a, b in zip(starts.tolist(), np.append(starts[1:], len(chunks)).tolist())
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key >> 16), pa.array((key & 0xFFFF).astype(np.int32)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-                    names=["chunk", "doc", "n_known", "base_score", "score"],
+                    [pa.array(chunks[starts]), pa.array(rows, pa.binary())], names=["chunk", "data"]
                 )
 
     return run
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for chunk, data in zip(batch["chunk"], batch["data"]):
-            p = _unpack(data.as_py())
-            n = len(p["doc_id"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, chunk.as_py())), pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(p["doc_id"], pa.int64(), mask=p["null"]), pa.array(p["held"]), pa.array(p["n_tokens"]),
-                ],
-                names=["chunk", "doc", "doc_id", "held_out", "n_tokens"],
-            )
+def _results(train_tokens: int):
+    """The rows of documents, from their descriptions and, after each, the sums of its chunk."""
+
+    def finished(p: dict, sums: list[np.ndarray]) -> pa.RecordBatch:
+        n_tokens, (known, base, score) = p["n_tokens"], sums
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(p["doc_id"], pa.int64(), mask=p["null"]), pa.array(p["held"]), pa.array(n_tokens),
+                pa.array(known.astype(np.int64)), pa.array(np.full(len(known), train_tokens)),
+                pa.array(base), pa.array(score), pa.array(10.0 ** (-score / n_tokens)),
+            ],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        described, sums = None, []
+        for batch in batches:
+            for part, data in zip(batch["part"].to_pylist(), batch["data"]):
+                p = _unpack(data.as_py())
+                if part == 0:
+                    if described is not None:
+                        yield finished(described, sums)
+                    described, sums = p, [np.zeros(len(p["doc_id"])) for _ in range(3)]
+                else:
+                    for total, name in zip(sums, ("known", "base", "score")):
+                        total[p["doc"]] += p[name]  # a document once in a part
+        if described is not None:
+            yield finished(described, sums)
+
+    return run
 
 
 def _frequent(docs: DataFrame, n_buckets: int) -> np.ndarray:
@@ -506,20 +529,15 @@ def scored(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES, n_bu
     buckets = state.where(F.col("bucket") != _DOCS)
     totals = _shared_totals(spark, buckets, hot, None, 0)
     totals = _shared_totals(spark, buckets, hot, totals, burn_in)
-    sums = (
-        buckets.mapInArrow(
-            _scores(spark.sparkContext.broadcast(totals), samples, burn_in),
-            "chunk long, doc int, n_known long, base_score double, score double",
-        )
-        .groupBy("chunk", "doc")
-        .agg(F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
-    )
-    described = state.where(F.col("bucket") == _DOCS).mapInArrow(
-        _documents, "chunk long, doc int, doc_id long, held_out boolean, n_tokens long"
+    sums = buckets.mapInArrow(
+        _scores(spark.sparkContext.broadcast(totals), samples, burn_in), "chunk long, data binary"
     )
-    return described.join(sums, ["chunk", "doc"]).select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.n_tokens).cast("long").alias("train_tokens"),
-        "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+    described = state.where(F.col("bucket") == _DOCS).select(F.lit(0).alias("part"), "chunk", "data")
+    parts = described.unionByName(sums.select(F.lit(1).alias("part"), "chunk", "data"))
+    return parts.repartition("chunk").sortWithinPartitions("chunk", "part").mapInArrow(
+        _results(totals.n_tokens),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double, perplexity double",
     )
 
 
