@@ -290,8 +290,9 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
             F.count("kind").alias("n_replaced"),
         )
     )
-    # All rows are joined, so that the texts are searched once.
-    joined = read.withColumn("text_key", F.unhex(F.md5("text"))).join(per_text, "text_key", "left")
+    # All rows are joined, so that the texts are searched once; the smaller side is stored, so
+    # that a text with very many copies can be split.
+    joined = read.withColumn("text_key", F.unhex(F.md5("text"))).join(stored.write(per_text), "text_key", "left")
     pieces = F.transform(F.split("text", _ANY, -1), lambda piece: _names_replaced(piece, F.col("names")))
     replaced = F.array_join(
         F.flatten(F.transform(pieces, lambda p, i: F.array(p, F.coalesce(F.get(F.col("written"), i)["written"], F.lit(""))))), ""
