@@ -39,6 +39,12 @@ _SYLLABLES = {
 }
 _ENDINGS = {("latin", "m"): "ron", ("latin", "f"): "lia", ("cyrillic", "m"): "рон", ("cyrillic", "f"): "лия", ("latin", ""): "", ("cyrillic", ""): ""}
 
+#: For surrogates: letters and symbols of secrets, and the attempts that keep a value's format.
+_CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+_SYMBOLS = "!#$%&*+-/=?^_~"
+_KEPT = 8
+
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _SECRET = r"(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,}"
@@ -135,10 +141,12 @@ def _draw(digest: Column, i: Column | int, below: Column | int) -> Column:
     return F.conv(F.substr(digest, place, F.lit(4)), 16, 10).cast("int") % below
 
 
-def _scrambled(value: Column, digest: Column) -> Column:
-    """Digits for digits, letters for letters of the same case, all else as it is; lower-case hex
-    for lower-case hex."""
+def _scrambled(value: Column, digest: Column, symbols: str = "") -> Column:
+    """Digits for digits, letters for letters of the same case (Cyrillic for Cyrillic, else Latin),
+    all else as it is; lower-case hex for lower-case hex. A value that has neither digits nor
+    letters gets some of ``symbols``, if given."""
     is_hex = value.rlike(r"^[0-9a-f]+$") & value.rlike(r"[a-f]")
+    bare = ~value.rlike(r"[\p{L}\p{M}\p{N}]")
 
     def letter(alphabet: str, i: Column) -> Column:
         return F.substr(F.lit(alphabet), _draw(digest, i, len(alphabet)) + 1, F.lit(1))
@@ -149,6 +157,12 @@ def _scrambled(value: Column, digest: Column) -> Column:
             .when(c.rlike("[0-9]"), letter("0123456789", i))
             .when(c.rlike("[A-Z]"), letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
             .when(c.rlike("[a-z]"), letter("abcdefghijklmnopqrstuvwxyz", i))
+            .when(c.rlike(r"(?=\p{IsCyrillic})\p{Lu}"), letter(_CYRILLIC.upper(), i))
+            .when(c.rlike(r"(?=\p{IsCyrillic})\p{L}"), letter(_CYRILLIC, i))
+            .when(c.rlike(r"\p{N}"), letter("0123456789", i))
+            .when(c.rlike(r"\p{Lu}"), letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", i))
+            .when(c.rlike(r"[\p{L}\p{M}]"), letter("abcdefghijklmnopqrstuvwxyz", i))
+            .when(bare, letter(symbols, i) if symbols else c)
             .otherwise(c)
         )
 
@@ -156,17 +170,32 @@ def _scrambled(value: Column, digest: Column) -> Column:
 
 
 def _surrogate(key: str) -> Column:
-    """The surrogate of ``canon`` at ``attempt``, by ``unit``."""
+    """The surrogate of ``canon`` at ``attempt``, by ``unit``.
+
+    The first attempts keep the format. From ``_KEPT`` on, the format gets wider with every
+    attempt (one more digit or letter; octets of any length, later more octets), so that a free
+    surrogate always exists.
+    """
     unit, canon, attempt = F.col("unit"), F.col("canon"), F.col("attempt")
     seed = F.concat_ws("\x1f", F.lit(key), unit, canon, attempt.cast("string"))
     digest = F.concat(F.sha2(F.concat(seed, F.lit("\x1f1")), 512), F.sha2(F.concat(seed, F.lit("\x1f2")), 512))
     host = F.regexp_extract(canon, r"@(.*)$", 1)
     top = F.when(host.rlike(r"\.(?:com|net|org)$"), F.regexp_extract(host, r"\.([a-z]+)$", 1)).otherwise(F.lit("com"))
     label = F.regexp_extract(host, r"^([^.]*)", 1)
+    wide = F.concat(F.sha2(F.concat(seed, F.lit("\x1f3")), 512), F.sha2(F.concat(seed, F.lit("\x1f4")), 512))
+
+    def more(alphabet: str) -> Column:
+        drawn = F.transform(
+            F.sequence(F.lit(_KEPT), attempt),
+            lambda i: F.substr(F.lit(alphabet), _draw(wide, i - _KEPT, len(alphabet)) + 1, F.lit(1)),
+        )
+        return F.when(attempt >= _KEPT, F.array_join(drawn, "")).otherwise(F.lit(""))
+
     email = F.concat(
-        _scrambled(F.regexp_extract(canon, r"^([^@]*)", 1), digest), F.lit("@"),
+        _scrambled(F.regexp_extract(canon, r"^([^@]*)", 1), digest), more(_LETTERS), F.lit("@"),
         _scrambled(label, F.reverse(digest)), F.lit(".example."), top,
     )
+
     def number(n: int, start: int) -> Column:
         return F.concat(*(_draw(digest, start + k, 10).cast("string") for k in range(n)))
 
@@ -174,18 +203,23 @@ def _surrogate(key: str) -> Column:
     # Ten digits: an area code and, in the first attempts, the exchange that is kept for fiction.
     ten = F.concat((_draw(digest, 0, 8) + 2).cast("string"), number(2, 1), F.when(attempt < 8, F.lit("555")).otherwise(number(3, 3)), number(4, 6))
     phone = F.when(length >= 11, F.concat(F.substr(canon, F.lit(1), length - 10), ten)).when(length == 10, ten).otherwise(_scrambled(canon, digest))
-    body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), _scrambled(F.substr(canon, F.lit(2), length - 2), digest))
+    body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), _scrambled(F.substr(canon, F.lit(2), length - 2), digest), more("0123456789"))
     check = (F.lit(10) - _luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
     octets = F.transform(
         F.split(canon, r"\."),
         lambda o, i: F.when(F.length(o) == 3, 100 + _draw(digest, i, 156)).when(F.length(o) == 2, 10 + _draw(digest, i, 90)).otherwise(1 + _draw(digest, i, 9)).cast("string"),
     )
+    free_octets = F.transform(
+        F.sequence(F.lit(0), 3 + F.floor((attempt - _KEPT) / 4).cast("int")), lambda i: _draw(digest, i, 256).cast("string")
+    )
     chosen = (
         F.when(unit == "email", email)
-        .when(unit == "phone", phone)
+        .when(unit == "phone", F.concat(phone, more("0123456789")))
         .when(unit == "card", F.concat(body, check.cast("string")))
+        .when((unit == "ip") & (attempt >= _KEPT), F.array_join(free_octets, "."))
         .when(unit == "ip", F.array_join(octets, "."))
-        .when(unit == "access", F.concat(F.substr(canon, F.lit(1), F.lit(4)), _scrambled(F.substr(canon, F.lit(5), length), digest)))
+        .when(unit == "access", F.concat(F.substr(canon, F.lit(1), F.lit(4)), _scrambled(F.substr(canon, F.lit(5), length), digest), more(_LETTERS.upper())))
+        .when(unit == "ssn", F.concat(_scrambled(canon, digest), more("0123456789")))
     )
     for (script, gender), ending in _ENDINGS.items():
         parts = F.array(*(F.lit(s) for s in _SYLLABLES[script]))
@@ -193,21 +227,22 @@ def _surrogate(key: str) -> Column:
         n = (2 if gender else 3) + F.floor(attempt / 4)
         name = F.array_join(F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), lambda i: F.get(parts, _draw(digest, i, len(_SYLLABLES[script])))), "")
         chosen = chosen.when(unit == f"name:{script}:{gender}", F.initcap(F.concat(name, F.lit(ending))))
-    return chosen.otherwise(_scrambled(canon, digest))
+    return chosen.otherwise(F.concat(_scrambled(canon, digest, _SYMBOLS), more(_LETTERS)))
 
 
-def surrogates(units: DataFrame, key: str, stored: Stored, attempts: int = 64) -> DataFrame:
+def surrogates(units: DataFrame, key: str, stored: Stored) -> DataFrame:
     """``unit``, ``canon`` and ``surrogate`` of every distinct pair of ``units``.
 
     The first draw of each value is checked: where a real value of the corpus is met, or another
     value has drawn the same (the one of the lower attempt, then of the smaller spelling, keeps
-    it), the value draws again, until no collision is left. Names are compared across genders.
+    it), the value draws again, until no collision is left; its format widens if it has too few
+    surrogates (``_surrogate``). Names are compared across genders.
     """
     family = F.when(F.col("unit").startswith("name:"), F.lit("name")).otherwise(F.col("unit"))
     real = stored.write(units.select("unit", "canon").distinct().withColumn("family", family))
     current = stored.write(real.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)))
     known = real.select("family", F.col("canon").alias("surrogate"), F.lit(True).alias("is_real")).distinct()
-    for _ in range(attempts):
+    while True:
         winners = current.groupBy("family", "surrogate").agg(F.min(F.struct("attempt", "canon", "unit")).alias("winner"))
         lost = (F.col("winner.canon") != F.col("canon")) | (F.col("winner.unit") != F.col("unit")) | F.coalesce("is_real", F.lit(False))
         judged = current.join(winners, ["family", "surrogate"]).join(known, ["family", "surrogate"], "left").withColumn("lost", lost)
@@ -218,7 +253,6 @@ def surrogates(units: DataFrame, key: str, stored: Stored, attempts: int = 64) -
         again = judged.withColumn("attempt", F.col("attempt") + F.col("lost").cast("int"))
         current = stored.write(again.withColumn("surrogate", F.when(F.col("lost"), _surrogate(key)).otherwise(F.col("surrogate"))).drop("lost"))
         stored.drop(judged)
-    raise ValueError("a value has no free surrogate; its format has too few")
 
 
 def _written(raw: Column, kind: Column, found: Column) -> Column:
@@ -226,7 +260,7 @@ def _written(raw: Column, kind: Column, found: Column) -> Column:
     (place, canon, surrogate) by place."""
     one = found[0]["surrogate"]
     digits = F.regexp_replace(one, r"\D", "")
-    # One digit after another goes to the places of digits.
+    # One digit after another goes to the places of digits, those of a wider format to the end.
     filled = F.aggregate(
         F.filter(F.split(raw, ""), lambda c: c != ""),
         F.struct(F.lit("").alias("text"), F.lit(1).alias("next")),
@@ -234,7 +268,8 @@ def _written(raw: Column, kind: Column, found: Column) -> Column:
             c.rlike("[0-9]"),
             F.struct(F.concat(done["text"], F.substr(digits, done["next"], F.lit(1))).alias("text"), (done["next"] + 1).alias("next")),
         ).otherwise(F.struct(F.concat(done["text"], c).alias("text"), done["next"].alias("next"))),
-    )["text"]
+        lambda done: F.concat(done["text"], F.substr(digits, done["next"], F.length(digits))),
+    )
     names = F.array_join(
         F.transform(
             F.split(raw, " "),
@@ -261,7 +296,7 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     they stand alone in the same text, too. Types, formats, scripts, the gender of given names
     and the validity of check digits are kept; mail addresses move to domains kept for examples.
     All else in a text stays as it is. A null text stays null. Rows with a null or repeated id
-    stay. The same ``key`` over the same table gives the same surrogates, another key others.
+    stay. A format that has too few surrogates for its values gets wider. The same ``key`` over the same table gives the same surrogates, another key others.
     Without rows the result is empty.
     """
     stored = Stored(docs.sparkSession, "pii")

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.llm import pii
 from tests.llm.data import documents, prose, with_clashes
@@ -88,6 +89,31 @@ def test_collisions_are_drawn_again(spark):
         assert not {a for a, _ in pairs} & {b for _, b in pairs}
 
 
+def test_values_without_ascii_letters_and_full_formats_get_surrogates(spark):
+    masked = ["********", "------", "*******", "пароль", "ПАРОЛЬ", "密码密码密码"]
+    octets = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    mails = ["_@-.co", "_@-.uk"]  # without letters to change before the ending
+    rows = [(k, f"password: {v}") for k, v in enumerate(masked)] + [(100, " ".join(octets)), (101, " ".join(mails))]
+    found = {r["doc_id"]: r["text"] for r in pii.pseudonymised(documents(spark, rows), "k").collect()}
+    secrets = [found[k].removeprefix("password: ") for k in range(len(masked))]
+    for before, after in ((masked, secrets), (octets, found[100].split(" ")), (mails, found[101].split(" "))):
+        assert len(before) == len(after) == len(set(after)) and not set(before) & set(after)
+    assert all(len(a) == len(b) for a, b in zip(masked, secrets))
+    assert re.fullmatch("[а-я]{6}", secrets[3]) and re.fullmatch("[А-Я]{6}", secrets[4]) and not set("密码") & set(secrets[5])
+    assert all(re.fullmatch(r"\d+(\.\d+){3}", a) for a in found[100].split(" "))
+
+
+def test_wider_numbers_are_written_whole(spark):
+    values = [("ssn", "123456789", "123-45-6789"), ("phone", "+12233", "+1 22 33"), ("card", "4111111111111111", "4111 1111 1111 1111")]
+    rows = [(u, c, r, k) for u, c, r in values for k in (0, 7, 8, 12)]
+    drawn = spark.createDataFrame(rows, "unit string, canon string, raw string, attempt int").withColumn("surrogate", pii._surrogate("k"))
+    one = F.array(F.struct(F.lit(0).alias("place"), "canon", "surrogate"))
+    for r in drawn.withColumn("written", pii._written(F.col("raw"), F.col("unit"), one)).collect():
+        digits = re.sub(r"\D", "", r["surrogate"])
+        assert len(r["surrogate"]) == len(r["canon"]) + max(0, r["attempt"] - 7) and re.sub(r"\D", "", r["written"]) == digits
+        assert r["unit"] != "card" or luhn(digits)
+
+
 def test_key_decides(spark):
     one, two, again = ([r["text"] for r in pii.pseudonymised(documents(spark, ROWS[:1]), k).collect()] for k in ("a", "b", "a"))
     assert one != two and one == again
