@@ -1,6 +1,7 @@
 """Benchmark items found in documents by SimHash of item-sized windows.
 
-Every window as long as an item and sharing a shingle with it gets a fingerprint. A multi-index
+Every window as long as an item and sharing a shingle with it gets a fingerprint; a document
+shorter than the item is one window. A multi-index
 finds all item fingerprints within the radius: the 64 bits are cut into blocks, and if two
 fingerprints are within the radius, some block differs in so few bits that trying these few
 changes must hit. Each candidate is then compared by the weighted Jaccard similarity of shingles.
@@ -117,10 +118,13 @@ class Items:
             for item, places in by_item.items():
                 by_size.setdefault(int(self.sizes[item]) - gram + 1, []).append(item)
             for size, items in by_size.items():
+                if len(hashes) / size < least:  # at most so similar
+                    continue
+                size = min(size, len(hashes))  # a shorter document is the one window
                 touched = np.unique(np.concatenate([by_item[i] for i in items]))
                 self._windows(hashes, touched, size, set(items), least, best)
         for item, (similarity, start) in sorted(best.items()):
-            yield self.ids[item], similarity, start, int(self.sizes[item])
+            yield self.ids[item], similarity, start, min(int(self.sizes[item]), len(words))
 
     def _windows(self, hashes, touched, size, items, least, best) -> None:
         """Compare the windows of ``size`` shingles that hold one of the places ``touched``."""
@@ -129,8 +133,6 @@ class Items:
         new = np.flatnonzero(np.append(True, low[1:] > np.maximum.accumulate(high)[:-1] + 1))
         ends = np.append(new[1:], len(low)) - 1
         for a, b in zip(low[new].tolist(), np.maximum.accumulate(high)[ends].tolist()):
-            if b < a:
-                continue
             region = hashes[a : b + size]
             places, found = self.near(window_fingerprints(region, size))
             for place, item in zip(places.tolist(), found.tolist()):
@@ -155,7 +157,7 @@ def contaminated(
 
     Words are separated by ASCII white space and A-Z lower-cased; shingles have five words and
     weigh as often as they occur. An item of fewer words is one shingle of all its words. A
-    window must be within ``radius`` bits of the item and at least ``similarity`` alike. The
+    document of fewer words than an item is compared as a whole. A window must be within ``radius`` bits of the item and at least ``similarity`` alike. The
     items go to the tasks in blocks of about ``words_per_block`` words, one pass over the documents
     for each block, so what a task holds is bounded whatever the number of items. Null and empty texts or
     items match nothing; items with a null or repeated id each count; repeated documents each

@@ -50,6 +50,30 @@ def test_found_equals_brute_force(spark):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(str(d) for d, _ in rows if d not in gone)
 
 
+def test_documents_shorter_than_an_item(spark):
+    def grams(words):
+        return Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+
+    items = [(k, prose(700 + k, 50 + k)) for k in range(6)] + [(20, "just three words")]
+    cut = [(k * 10 + j, part) for k, (_, item) in enumerate(items[:6]) for j, part in enumerate((
+        item.split()[:-2], item.split()[5:], item.split()[3:-4], item.split()[:-11], item.split()[:20], item.split()[:4],
+    ))]
+    rows = [(d, " ".join(w)) for d, w in cut] + [(200, "just three"), (201, "words")]
+    expected = {}
+    for d, words in cut:
+        for i, item in items[:6]:
+            one, other = grams(words), grams(item.split())
+            value = (one & other).total() / (one | other).total()
+            if value >= 0.8:
+                expected[d, i] = (value, 0, len(words))
+    assert len(expected) >= 12
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(documents(spark, rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"], r["n_words"]) for r in found} == expected
+    clean = {r["doc_id"] for r in decontaminate.without_contaminated(documents(spark, rows), bench).collect()}
+    assert clean == {d for d, _ in rows} - {d for d, _ in expected}
+
+
 def test_index_finds_all_within_the_radius():
     draw = np.random.default_rng(5)
     items = decontaminate.Items([(k, decontaminate.words_of(prose(k, 40))) for k in range(60)])
