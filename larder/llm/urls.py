@@ -19,6 +19,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A canonical link and a refresh, whatever the order of their attributes.
 _CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
+_BASE = r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def host_of(url: Column) -> Column:
@@ -49,24 +50,47 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(F.translate(parts, _UPPER, _LOWER), rest))
 
 
+def _without_dots(path: Column) -> Column:
+    """``path``, which starts with /, after its steps . and .. are taken."""
+    steps = F.aggregate(
+        F.split(F.substr(path, F.lit(2), F.length(path)), "/", -1),
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(x == ".", done)
+        .otherwise(F.concat(done, F.array(x))),
+    )
+    ends = F.when(path.rlike(r"/\.\.?$") & (F.size(steps) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(steps, "/"), ends)
+
+
 def _target(url: Column, href: Column) -> Column:
-    """``href`` as an address of its own, taken from the page at ``url``."""
+    """``href`` as an address of its own, taken from the page at ``url``; null if it is empty or
+    of a scheme without hosts."""
     scheme, site = F.regexp_extract(url, r"(?s)^(.*?:)//", 1), F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path, page = path_of(url), F.regexp_extract(url, r"(?s)^(.*?://[^?#]*)", 1)
+    folder = F.concat(F.regexp_extract(path, r"(?s)^(.*)/", 1), F.lit("/"))
+    own, rest = F.regexp_extract(href, r"(?s)^([^?#]*)", 1), F.regexp_extract(href, r"(?s)^[^?#]*(.*)$", 1)
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*([^#]*)", 1)
     return (
         F.when(F.length(href) == 0, F.lit(None))
-        .when(F.instr(href, "://") > 0, href)
+        .when(href.rlike(r"^[^/?#]*://"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(site, href))
+        .when(href.startswith("/"), F.concat(site, _without_dots(own), rest))
+        .when(href.startswith("?"), F.concat(page, href))
+        .when(href.startswith("#"), F.concat(page, query, href))
+        .when(~href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(site, _without_dots(F.concat(folder, own)), rest))
     )
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` between a page and the address it redirects to or calls canonical."""
+    """Links ``a``, ``b`` between a page and all addresses it redirects to or calls canonical."""
+    every = F.concat(*(F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (_CANONICAL, _REFRESH)))
     linking = pages.where(F.lower("html").rlike(r"canonical|refresh")).select(
-        "url", F.explode(F.array(*(F.regexp_extract("html", p, 1) for p in (_CANONICAL, _REFRESH)))).alias("href")
+        "url", F.regexp_extract("html", _BASE, 1).alias("base"), F.explode(F.array_distinct(every)).alias("href")
     )
-    return linking.select(
-        node_of(F.col("url")).alias("a"), node_of(_target(F.col("url"), F.col("href"))).alias("b")
+    based = linking.select("url", "href", F.coalesce(_target(F.col("url"), F.col("base")), "url").alias("base"))
+    return based.select(
+        node_of(F.col("url")).alias("a"), node_of(_target(F.col("base"), F.col("href"))).alias("b")
     ).where("a is not null and b is not null")
 
 
@@ -80,8 +104,8 @@ def url_verdicts(
     (``from_url``, ``to_url``): allow if a rule allows any of them, else block if a rule blocks
     any, else ``default``. Addresses count as aliases whether or not they are pages. Rows with
     the same address get the same verdict and stay; a null url, or one without ://, has no host,
-    path, rule or alias. Links that are relative to the page's folder are not followed. Tables
-    without rows give none.
+    path, rule or alias. All links of a page count; relative ones are taken from its folder or from
+    the address its base names. Tables without rows give none.
     """
     spark = pages.sparkSession
     stored = Stored(spark, "urls")

@@ -55,6 +55,37 @@ def test_decisions_reach_aliases_and_allow_comes_first(spark):
     assert {i for i, v in found.items() if v == "block"} == blocked and len(found) == 12
 
 
+def test_relative_and_further_links_are_followed(spark):
+    links = [
+        ("http://a.io/x/y/p?q=1#f", "index.html", "http://a.io/x/y/index.html"),
+        ("http://a.io/x/y/p", "../en/", "http://a.io/x/en/"),
+        ("http://a.io/x/y/p", "../../../..", "http://a.io/"),
+        ("http://a.io/x/y/p", "..", "http://a.io/x/"),
+        ("http://a.io/x/y/p", "./a/./b?u=../c", "http://a.io/x/y/a/b?u=../c"),
+        ("http://a.io/x/y/p?q=1", "?page=2", "http://a.io/x/y/p?page=2"),
+        ("http://a.io/p?q=1", "#top", "http://a.io/p?q=1"),
+        ("http://a.io", "n?u=http://b.net/", "http://a.io/n?u=http://b.net/"),
+        ("http://a.io/x/", "/u/../v", "http://a.io/v"),
+        ("http://a.io/x/", "//b.io/y", "http://b.io/y"),
+        ("http://a.io/x/", "HTTP://B.io/y", "http://b.io/y"),
+        ("http://a.io/x/", "mailto:me", None),
+        ("http://a.io/x/", "w/éa", "http://a.io/x/w/éa"),
+    ]
+    for href in (canonical, lambda h: f'<meta http-equiv="refresh" content="0;url={h}">'):
+        found = urls.alias_edges(pages(spark, [(k, u, href(h)) for k, (u, h, _) in enumerate(links)])).collect()
+        node = lambda u: u.split("#")[0]
+        assert sorted((r["a"], r["b"]) for r in found) == sorted((node(u), b) for u, _, b in links if b)
+    rows = [
+        (1, "http://c.io/d/1", '<base target="_top" href="../e/">' + canonical("2")),
+        (2, "http://c.io/e/2", canonical("http://d.io/3") + canonical("http://x.net/4")),
+        (3, "http://d.io/3", '<meta http-equiv="refresh" content="0; url=#"><meta http-equiv=refresh content="1; url=n/5">'),
+        (4, "http://d.io/n/5", None),
+        (5, "http://d.io/5", None),
+    ]
+    found = {r["page_id"]: r["verdict"] for r in urls.url_verdicts(pages(spark, rows)).collect()}
+    assert {i for i, v in found.items() if v == "block"} == {1, 2, 3, 4}
+
+
 def test_given_redirects(spark):
     moved = spark.createDataFrame([("http://a.io/", "http://b.net/"), (None, "http://a.io/"), ("http://a.io/", None)], "from_url string, to_url string")
     assert urls.url_verdicts(pages(spark, [(1, "http://a.io/", "")]), redirects=moved).first()["verdict"] == "block"
