@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, urls, vectors
+from larder.llm import bpe, decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, urls, vectors
 from larder.llm.oracle import ORACLE as _SQL
 
 #: Key of the registered query; users pass their own, which they keep secret.
@@ -63,6 +64,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_classes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of what they decode to."""
+    back = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), token_file()), token_file())
+    return back.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_passage_dedup,
         op9_packing,
         op10_embedding_dedup,
+        op12_bpe,
     )
 }
 ORACLE = {name: _SQL[name] for name in QUERIES if name in _SQL}
