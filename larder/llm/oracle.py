@@ -131,3 +131,45 @@ SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_link
     v.vec_id = (SELECT min(reach.b) FROM reach WHERE reach.a = v.vec_id) AS kept
 FROM v
 """
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH t AS (
+    SELECT conv_id, turn, substr(sha256(length(r) || ':' || r || x), 1, 32) AS id,
+        len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n_words
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+),
+own AS (
+    SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(n_words ORDER BY turn NULLS FIRST, id) AS words
+    FROM t GROUP BY conv_id
+),
+steps AS (
+    SELECT conv_id, list_prepend(4294967295, flatten(list_transform(
+        string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))) AS todo
+    FROM own
+),
+heads AS (
+    SELECT conv_id, xor(list_reduce(todo, lambda a, e: CASE WHEN e >= 0 THEN xor(a, e)
+        ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+    FROM steps
+),
+rebuilt AS (
+    SELECT own.conv_id,
+        list_concat(coalesce(base.ids[1:h], []), own.ids[h + 1:]) AS ids,
+        list_concat(coalesce(base.words[1:h], []), own.words[h + 1:]) AS words
+    FROM own JOIN heads USING (conv_id) LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 20
+),
+begun AS (SELECT conv_id, ids, words, unnest(range(0, len(ids) + 1)) AS depth FROM rebuilt),
+nodes AS (
+    SELECT array_to_string(ids[1:depth], '') AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * any_value(words[depth]) END AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ids) = depth), '')) AS ends_sha256
+    FROM begun GROUP BY 1, 2
+),
+children AS (SELECT substr(node, 1, 32 * (depth - 1)::INT) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+above AS (SELECT substr(node, 1, 32 * unnest(range(0, depth + 1))::INT) AS node, n_children = 0 AS leaf, saved FROM counted),
+subtrees AS (SELECT node, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY node)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s USING (node)
+LEFT JOIN nodes p ON c.depth > 0 AND p.node = substr(c.node, 1, 32 * (c.depth - 1)::INT)
+"""

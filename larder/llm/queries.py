@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, urls, vectors
+from larder.llm import bpe, decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, trie, urls, vectors
 from larder.llm.oracle import ORACLE as _SQL
 
 #: Key of the registered query; users pass their own, which they keep secret.
@@ -73,6 +73,12 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the conversations, each opened by the first turns of the one its group begins with."""
+    found = trie.sequences(table(spark, sf_dir, "conversations"))
+    return trie.prefix_nodes(trie.with_shared_openings(found))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_embedding_dedup,
         op12_bpe,
+        op13_prefix_trie,
     )
 }
 ORACLE = {name: _SQL[name] for name in QUERIES if name in _SQL}

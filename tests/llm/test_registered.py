@@ -18,7 +18,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "benchmark", "labels"):
+    for table in ("documents", "pages", "embeddings", "benchmark", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
