@@ -28,9 +28,9 @@ RUNS = (r"\p{L}*", r"\p{N}*", r"\s*", r"[^\s\p{L}\p{N}]*")
 
 _SEEN = 3  # characters from its start that decide how a word begins ('re, 've, 'll)
 _CHUNK = 1 << 16  # characters fed at once
-_CACHED = 1 << 18  # words whose ids a worker remembers
+_CACHED = 1 << 18  # words whose ids a worker remembers, twice
 _OUT = 1 << 22  # bytes of results in a batch
-_NEVER = float("inf")
+_NEVER = 1 << 62
 
 
 def byte_letters() -> dict[str, int]:
@@ -80,15 +80,17 @@ def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
 
 
 class _Remembered(dict):
-    """Ids of words; full, it starts afresh."""
+    """Ids of words; full, it starts afresh but can still look into what it held."""
 
     def __init__(self, encode):
         self.encode = encode
+        self.older: dict = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.encode(word.encode()))
+        ids = self.older.pop(word, None) or tuple(self.encode(word.encode()))
         if len(word) <= 64:
             if len(self) >= _CACHED:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -136,16 +138,16 @@ class Vocabulary:
     def merged(self, data: bytes) -> list[int]:
         """The ids of bytes that are one word, by the merge list: first rank first, then leftmost."""
         parts = [self.single[b] for b in data]
-        rank_of = self.ranks.get
+        rank_of, made = self.ranks.get, self.made
         ranks = [rank_of(pair, _NEVER) for pair in zip(parts, parts[1:])]
         while ranks and (rank := min(ranks)) != _NEVER:
             k = ranks.index(rank)
-            parts[k : k + 2] = [self.made[rank]]
-            del ranks[k]
+            parts[k] = token = made[rank]
+            del parts[k + 1], ranks[k]
             if k:
-                ranks[k - 1] = rank_of((parts[k - 1], parts[k]), _NEVER)
+                ranks[k - 1] = rank_of((parts[k - 1], token), _NEVER)
             if k < len(ranks):
-                ranks[k] = rank_of((parts[k], parts[k + 1]), _NEVER)
+                ranks[k] = rank_of((token, parts[k + 1]), _NEVER)
         return parts
 
     def encode(self, chunks: Iterable[str]) -> Iterator[array]:
@@ -345,6 +347,31 @@ def decoded(rows: DataFrame, tokenizer: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``encoded`` and ``decoded`` in one pass: ``doc_id``, ``ids`` and the ``text`` they give back.
+
+    Every id goes from the encoder to the decoder as soon as it is sure.
+    """
+    workers_find_package(docs.sparkSession)
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(tokenizer)
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                    text, ids, states, back = text.as_py() or "", array("I"), Decoding(known), []
+                    for piece in known.encode(text[k : k + _CHUNK] for k in range(0, len(text), _CHUNK)):
+                        ids += piece
+                        back.append(states.feed(piece))
+                    yield doc_id.as_py(), little_endian(ids), "".join([*back, states.finish()])
+
+        yield from in_batches(rows(), schema, lambda row: 2 * len(row[1]))
+
+    return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def little_endian(ids: array) -> bytes:
     import sys
 

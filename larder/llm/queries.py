@@ -66,7 +66,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
-    back = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), token_file()), token_file())
+    back = bpe.round_trip(table(spark, sf_dir, "documents"), token_file())
     return back.select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
