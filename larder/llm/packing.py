@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from larder.llm.bpe import byte_letters
 from larder.llm.shared import workers_find_package
 
 CAPACITY = 1024
@@ -27,13 +28,14 @@ _ROWS = 8192  # pieces in a batch of results
 _TASK_BITS = 40  # sequence ids: the partition's number above, a count below
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str):
+@lru_cache(maxsize=4)
+def encoder(path: str, special_as_text: bool = False):
     """A function from text to the ids that the tokenizer file at ``path`` gives.
 
     The file's byte-level vocabulary is run by tiktoken, which is five times as fast as the
     library the file is made for and gives the same ids; a text that it refuses is left to that
-    library. Strings of special tokens in a text are ordinary text.
+    library. Strings of added tokens in a text become their ids, as the library has it; with
+    ``special_as_text`` those of special tokens are ordinary text.
     """
     import json
 
@@ -42,17 +44,22 @@ def encoder(path: str):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
+    plain.no_truncation()
+    plain.no_padding()
+    plain.encode_special_tokens = special_as_text
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     special = {t["content"] for t in spec["added_tokens"] if t["special"]}
-    letters = _byte_letters()
+    added = [t["content"] for t in spec["added_tokens"] if not (special_as_text and t["special"])]
+    letters = byte_letters()
     ranks = {
         bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special
     }
     fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
+        if any(token in text for token in added):
+            return plain.encode(text, add_special_tokens=False).ids
         try:
             return fast.encode_ordinary(text)
         except BaseException as error:  # noqa: BLE001  its panics are no Exceptions
@@ -63,14 +70,6 @@ def encoder(path: str):
     return encode
 
 
-def _byte_letters() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: printable bytes stand for
-    themselves, the others follow from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 class Packer:
     """Windows of ``capacity`` ids, filled online.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, trie, urls, vectors
+from larder.llm import alignment, bpe, decontaminate, lines, lm, packing, passages, pii, simhash, toxicity, trie, urls, vectors
 from larder.llm.oracle import ORACLE as _SQL
 
 #: Key of the registered query; users pass their own, which they keep secret.
@@ -18,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def token_file() -> str:
+def token_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_classes(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two public tokenizers."""
+    return alignment.aligned(table(spark, sf_dir, "documents"), token_file(), token_file("piece_bpe_32k.model"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
     back = bpe.round_trip(table(spark, sf_dir, "documents"), token_file())
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_passage_dedup,
         op9_packing,
         op10_embedding_dedup,
+        op11_token_alignment,
         op12_bpe,
         op13_prefix_trie,
     )

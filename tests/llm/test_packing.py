@@ -16,7 +16,6 @@ TEXTS = ["a  b   c", " \n x\t\ty  ", "<|endoftext|> z", "ÄÖ 12,345 it's  q"
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -25,6 +24,11 @@ def test_ids_are_the_tokenizers(spark, plain):
     texts = TEXTS + [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for text in texts:
         assert encode(text) == plain(text)
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    as_text = Tokenizer.from_file(PATH)
+    as_text.encode_special_tokens = True
+    for text in TEXTS:
+        assert packing.encoder(PATH, True)(text) == as_text.encode(text, add_special_tokens=False).ids
 
 
 def test_pieces_hold_every_id_once(spark, plain):
