@@ -50,6 +50,19 @@ def to_day(column: str) -> Column:
     return F.when((F.length(text) == 10) & dashes, text.try_cast("date"))
 
 
+# The forms of a day that are read besides 2025-01-31, month before day.
+DAY_FORMS = (
+    "yyyy-M-d[ H:m[:s]]", "yyyy-M-d'T'H:m[:s]", "yyyy/M/d[ H:m[:s]]", "M/d/yyyy[ H:m[:s]]", "M-d-yyyy",
+    "d MMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMMM yyyy", "yyyyMMdd",
+)
+
+
+def to_any_day(column: str) -> Column:
+    """Text of any common form of a day to a date, a time of day left out; anything else to null."""
+    tried = [F.try_to_timestamp(F.col(column), F.lit(form)).cast("date") for form in DAY_FORMS]
+    return F.coalesce(to_day(column), *tried)
+
+
 def surrogate_key(*columns: Column | str) -> Column:
     """The same natural key always gets the same surrogate key, different ones different keys:
     separators inside a part are escaped and a null part has a mark of its own."""

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.functions.text import strip, to_day, to_double, to_int
+from larder.functions.text import strip, to_any_day, to_day, to_double, to_int
 from larder.operators import quality
 from larder.schemas import READ_AS, SOURCES
 
@@ -41,10 +41,11 @@ _READERS = {
     "upper": lambda c: F.upper(F.trim(c)),
     "lower": lambda c: F.lower(F.trim(c)),
     "day": to_day,
+    "any day": to_any_day,
     "number": to_double,
     "whole": to_int,
 }
-_TYPED = ("day", "number", "whole")
+_TYPED = ("day", "any day", "number", "whole")
 
 
 def _kinds(df: DataFrame, source: str) -> dict[str, str]:

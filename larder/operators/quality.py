@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from larder.functions.measures import in_range
@@ -32,6 +32,38 @@ def _long_form(one_row: DataFrame, names: Sequence[str]) -> DataFrame:
     return one_row.select(F.inline(F.array(*pairs)))
 
 
+def failures(checks: Sequence[Check], nulls: str = "pass") -> dict[str, Column]:
+    """The failing rows of each check as an aggregate."""
+    return {name: _failures(condition, nulls) for name, condition in checks}
+
+
+class Watch:
+    """Aggregates over rows that something else reads or writes, without a pass of their own."""
+
+    def __init__(self, columns: Mapping[str, Column]):
+        self.columns = dict(columns)
+        self.observation = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """``df``, to be read or written once, whole."""
+        if not self.columns:
+            return df
+        return df.observe(self.observation, *(c.alias(name) for name, c in self.columns.items()))
+
+    def values(self) -> dict:
+        """What was found, once that is done."""
+        found = self.observation.get if self.columns else {}
+        return {name: found[name] for name in self.columns}
+
+
+def raise_on_counts(found: Mapping[str, int], table: str = "") -> None:
+    """Raise for the first check, in order, that any row fails."""
+    where = f" [{table}]" if table else ""
+    for name, rows in found.items():
+        if rows:
+            raise QualityError(f"DQ GATE FAILED{where}: {name} — {rows} rows")
+
+
 def report(df: DataFrame, checks: Sequence[Check], nulls: str = "pass") -> DataFrame:
     """check_name, failing_rows: all checks counted in one pass over ``df``."""
     counts = [_failures(cond, nulls).alias(f"c{i}") for i, (_, cond) in enumerate(checks)]
@@ -40,12 +72,7 @@ def report(df: DataFrame, checks: Sequence[Check], nulls: str = "pass") -> DataF
 
 def raise_on_failure(found: DataFrame, table: str = "") -> None:
     """Raise for the first failing check of a report; reports hold one row per check."""
-    where = f" [{table}]" if table else ""
-    for row in found.collect():
-        if row.failing_rows:
-            raise QualityError(
-                f"DQ GATE FAILED{where}: {row.check_name} — {row.failing_rows} rows"
-            )
+    raise_on_counts({row.check_name: row.failing_rows for row in found.collect()}, table)
 
 
 def gate(df: DataFrame, checks: Sequence[Check], nulls: str = "pass", table: str = "") -> None:
@@ -57,11 +84,17 @@ def gate(df: DataFrame, checks: Sequence[Check], nulls: str = "pass", table: str
 # --- Bronze ---------------------------------------------------------------------------
 
 
+def key_nulls(key: Sequence[str]) -> dict[str, Column]:
+    """No rows at all, and nulls per key column, as aggregates."""
+    empty = F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint")
+    return {"not_empty": empty, **{f"{c}_not_null": F.count_if(F.col(c).isNull()) for c in key}}
+
+
 def key_nulls_report(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows present and nulls per key column, in one pass."""
-    counts = [F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("c0")]
-    counts += [F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(key, 1)]
-    return _long_form(df.agg(*counts), ["not_empty", *[f"{c}_not_null" for c in key]])
+    counts = key_nulls(key)
+    columns = [c.alias(f"c{i}") for i, c in enumerate(counts.values())]
+    return _long_form(df.agg(*columns), list(counts))
 
 
 # --- Uniqueness -----------------------------------------------------------------------

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.functions.text import strip, surrogate_key, to_day, to_double, to_int
+from larder.functions.text import strip, surrogate_key, to_any_day, to_double, to_int
 from larder.operators.clean import keep_first, strip_text
-from larder.schemas import DIMS, OPEN_END, SUPPLIER_COLUMNS, SUPPLIER_TRACKED
+from larder.schemas import DIMS, LOAD_DATE, OPEN_END, SUPPLIER_COLUMNS, SUPPLIER_TRACKED
 
 COLUMNS = DIMS["dim_supplier"].names
 
@@ -18,12 +18,14 @@ COLUMNS = DIMS["dim_supplier"].names
 TRUE_TEXTS = ("1", "True", "true", "1.0")
 
 
-def latest_suppliers(records: DataFrame) -> DataFrame:
-    """The latest current record per supplier out of any number of load snapshots.
+def latest_suppliers(records: DataFrame, by_load: bool = False) -> DataFrame:
+    """The latest current record per supplier out of any number of load snapshots; with
+    ``by_load`` that of each supplier in each snapshot, with its load date.
 
-    If no record at all is flagged current, every record counts. Columns a feed may lack
-    (is_current, effective_from) are optional, as are trailing tie-breaks.
+    If no record at all (of the snapshot) is flagged current, every record counts. Columns a feed
+    may lack (is_current, effective_from) are optional, as are trailing tie-breaks.
     """
+    load = [LOAD_DATE] if by_load else []
     stripped = strip_text(records).where("supplier_id is not null")
     typed = stripped.withColumns(
         {"lead_time_days": to_int("lead_time_days"), "quality_score": to_double("quality_score")}
@@ -32,17 +34,52 @@ def latest_suppliers(records: DataFrame) -> DataFrame:
         flagged = typed.withColumn(
             "_current", F.coalesce(F.col("is_current").isin(*TRUE_TEXTS), F.lit(False))
         )
-        any_current = flagged.agg(F.coalesce(F.max("_current"), F.lit(False))).scalar()
-        typed = flagged.where(F.col("_current") | ~any_current)
+        if by_load:
+            current = flagged.groupBy(LOAD_DATE).agg(F.max("_current").alias("_any"))
+            flagged = flagged.join(current, LOAD_DATE)
+        else:
+            any_current = flagged.agg(F.coalesce(F.max("_current"), F.lit(False))).scalar()
+            flagged = flagged.withColumn("_any", any_current)
+        typed = flagged.where(F.col("_current") | ~F.col("_any"))
     order = []
     if "effective_from" in typed.columns:
-        order.append(to_day("effective_from").desc_nulls_last())
+        order.append(to_any_day("effective_from").desc_nulls_last())
     for column in ("ingestion_timestamp", "supplier_record_id"):
         if column in typed.columns:
             order.append(F.col(column).desc_nulls_last())
     order += [F.col(c).asc_nulls_last() for c in SUPPLIER_COLUMNS if c in typed.columns]
     kept = [c for c in SUPPLIER_COLUMNS if c in typed.columns]
-    return keep_first(typed, ["supplier_id"], order).select(*kept)
+    return keep_first(typed, [*load, "supplier_id"], order).select(*load, *kept)
+
+
+def history(snapshots: DataFrame, tracked: Sequence[str] = SUPPLIER_TRACKED) -> DataFrame:
+    """The versions of all suppliers from all their snapshots (``load_date`` and the supplier's
+    columns), whatever the order in which these arrived.
+
+    A version begins with a supplier's first snapshot, and with each whose tracked columns differ
+    from the snapshot before; it ends the day before the next begins. Other columns are those of
+    the snapshot it begins with. A supplier that a snapshot leaves out keeps its version. Merging
+    the snapshots one by one with ``apply_scd2``, in the order of their dates, gives the same rows.
+    A supplier has one row a snapshot, so the window over its rows stays small.
+    """
+    ordered = Window.partitionBy("supplier_id").orderBy(LOAD_DATE)
+    previous = F.lag(F.struct(*tracked)).over(ordered)
+    cleaned = snapshots.withColumn("supplier_name", strip("supplier_name"))
+    begins = (
+        cleaned.withColumn("_same", F.struct(*tracked).eqNullSafe(previous))
+        .where(~F.col("_same"))
+        .withColumn("_next", F.lead(LOAD_DATE).over(ordered))
+    )
+    day = F.date_format(LOAD_DATE, "yyyy-MM-dd")
+    closed = F.date_format(F.date_sub("_next", 1), "yyyy-MM-dd")
+    values = {
+        "supplier_sk": surrogate_key("supplier_id", day),
+        "effective_date": day,
+        "expiry_date": F.coalesce(closed, F.lit(OPEN_END)),
+        "is_current": F.col("_next").isNull(),
+    }
+    kinds = {f.name: f.dataType for f in DIMS["dim_supplier"].fields}
+    return begins.select(*(values.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in COLUMNS))
 
 
 def _one_row_per_supplier(incoming: DataFrame) -> DataFrame:

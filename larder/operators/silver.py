@@ -16,25 +16,25 @@ def waste_to_grain(waste: DataFrame, by_load: bool = False) -> DataFrame:
     Reason and stage are those of the largest event. Events are summed by key, reason and stage
     first, with numbers only in the buffers, so that raw rows are hashed and not sorted; a key
     with very many events shuffles a row per task and cause. The cause of a key is then picked
-    from these few rows. With ``by_load`` the load date of the latest event is kept.
+    from these few rows. With ``by_load`` they are also summed by load date, and the sums of a
+    key's last load count; that load date is kept.
     """
-    loaded = [F.max(LOAD_DATE).alias(LOAD_DATE)] if by_load else []
+    load = [LOAD_DATE] if by_load else []
     exact, plain, unfit = sum_parts("quantity_wasted")
-    causes = waste.groupBy(*GRAIN, "waste_reason", "waste_stage").agg(
+    causes = waste.groupBy(*GRAIN, *load, "waste_reason", "waste_stage").agg(
         exact.alias("_exact"), plain.alias("_plain"), unfit.alias("_unfit"),
-        F.max("quantity_wasted").alias("_largest"), *loaded,
+        F.max("quantity_wasted").alias("_largest"),
     )
+    if by_load:
+        last = F.max(LOAD_DATE).over(Window.partitionBy(*GRAIN))
+        causes = causes.withColumn("_last", last).where(F.col("_last") == F.col(LOAD_DATE)).drop("_last")
     return (
-        causes.groupBy(*GRAIN)
+        causes.groupBy(*GRAIN, *load)
         .agg(
             sum_of_parts("_exact", "_plain", "_unfit").alias("quantity_wasted"),
             F.max(F.struct("_largest", "waste_reason", "waste_stage")).alias("_top"),
-            *loaded,
-        )
-        .select(
-            *GRAIN, "quantity_wasted", "_top.waste_reason", "_top.waste_stage",
-            *([LOAD_DATE] if by_load else []),
         )
+        .select(*GRAIN, "quantity_wasted", "_top.waste_reason", "_top.waste_stage", *load)
     )
 
 

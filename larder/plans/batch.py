@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from larder.operators import clean, dims, facts, quality, scd2, silver
 from larder.schemas import DIMS, FACTS, GRAIN, LOAD_DATE, PARTITIONS, SILVER, SOURCES
-from larder.sources import bronze, files
+from larder.sources import bronze, files, versions
 from larder.sources.catalog import gold_path
-from larder.sources.tables import publish, read_if_present, read_or_empty, read_table
+from larder.sources.tables import publish, read_if_present, read_or_empty, read_published, read_table
 
 
 @dataclass(frozen=True)
@@ -89,50 +89,61 @@ def silver_of_months(read, months: DataFrame, stage) -> DataFrame:
     def of_months(source: str, cleaned) -> DataFrame:
         dated = cleaned(read(source)).withColumns({"_y": F.year("date"), "_m": F.month("date")})
         within = (F.col("_y") == months["year"]) & (F.col("_m") == months["month"])
-        return silver.latest_loads(dated.join(months, within, "left_semi").drop("_y", "_m"))
+        return dated.join(months, within, "left_semi").drop("_y", "_m")
 
     return silver.build_silver(
-        of_months("production_logs", clean.clean_production),
+        silver.latest_loads(of_months("production_logs", clean.clean_production)),
         silver.waste_to_grain(of_months("waste_logs", clean.clean_waste), by_load=True),
         stage(silver.menu_lookup(clean.clean_menu(read("menu_data")))),
         stage(silver.location_lookup(clean.clean_location(read("location_data")))),
     )
 
 
-def run_silver(spark: SparkSession, paths: Paths, run_date: date) -> None:
-    """The months that one load date of Bronze touches, to Silver. Texts that are no dates or
-    numbers stop it, as do keys that occur twice in a load."""
-    logs = ("production_logs", "waste_logs")
+LOGS = ("production_logs", "waste_logs")
+
+
+def _of_load(spark: SparkSession, paths: Paths, source: str, run_date: date) -> DataFrame:
+    return bronze.read_bronze(spark, paths.bronze, source, run_date)
+
+
+def touched_months(spark: SparkSession, paths: Paths, run_date: date) -> list[str]:
+    """The months ("2025-01") for which a load brought logs, as written down when it landed."""
+    return sorted({m for source in LOGS for m in bronze.months_of_load(spark, paths.bronze, source, run_date)})
+
+
+def run_silver(spark: SparkSession, paths: Paths, run_date: date) -> list[str]:
+    """The months that one load date of Bronze touches, to Silver; returns them.
+
+    Of the logs only the loads that hold one of these months are read. Texts that are no dates or
+    numbers stop it, as do keys that occur twice in a load.
+    """
+    for source in (*LOGS, "menu_data"):
+        quality.raise_on_failure(clean.unreadable_report(_of_load(spark, paths, source, run_date), source), source)
+    months = touched_months(spark, paths, run_date)
 
     def read(source: str) -> DataFrame:
-        if source in logs:
-            return bronze.read_bronze(spark, paths.bronze, source)
-        return bronze.read_bronze(spark, paths.bronze, source, run_date).drop(LOAD_DATE)
-
-    for source in (*logs, "menu_data"):
-        landed = bronze.read_bronze(spark, paths.bronze, source, run_date)
-        quality.raise_on_failure(clean.unreadable_report(landed, source), source)
-    arrived = [
-        clean.typed(bronze.read_bronze(spark, paths.bronze, source, run_date).select("date"), source)
-        for source in logs
-    ]
-    days = arrived[0].unionByName(arrived[1])
-    months = days.select(F.year("date").alias("year"), F.month("date").alias("month")).distinct()
+        if source in LOGS:
+            return bronze.read_bronze(spark, paths.bronze, source, months=months)
+        return _of_load(spark, paths, source, run_date).drop(LOAD_DATE)
 
     def gate(written: DataFrame) -> None:
-        quality.gate(written, quality.range_checks() + quality.silver_checks(), table="silver")
         quality.gate_unique(written, *GRAIN, table="silver")
 
     scratch = Scratch(spark)
     try:
-        built = silver_of_months(read, scratch(months), scratch)
-        publish(spark, built.select(*SILVER.names), paths.silver, gate, PARTITIONS, rebalance=True)
+        wanted = spark.createDataFrame([tuple(map(int, m.split("-"))) for m in months], "year int, month int")
+        built = silver_of_months(read, wanted, scratch)
+        publish(
+            spark, built.select(*SILVER.names), paths.silver, gate, PARTITIONS, rebalance=True,
+            counts=quality.failures(quality.range_checks() + quality.silver_checks()), name="silver",
+        )
     finally:
         scratch.drop()
+    return months
 
 
 def read_silver(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_table(spark, paths.silver, SILVER)
+    return read_published(spark, paths.silver, SILVER)
 
 
 def read_dim(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
@@ -142,14 +153,14 @@ def read_dim(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
 def read_gold(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     tables = {name: read_dim(spark, paths, name) for name in DIMS}
     for name, schema in FACTS.items():
-        tables[name] = read_table(spark, gold_path(paths.gold, name), schema)
+        tables[name] = read_published(spark, gold_path(paths.gold, name), schema)
     return tables
 
 
 def _publish_dim(spark: SparkSession, paths: Paths, name: str, df: DataFrame, gate=None) -> None:
     sk = DIMS[name].names[0]
     gate = gate or (lambda written: quality.gate_unique(written, sk, table=name))
-    publish(spark, df.select(*DIMS[name].names), gold_path(paths.gold, name), gate)
+    publish(spark, df.select(*DIMS[name].names), gold_path(paths.gold, name), gate, unless_same=True)
 
 
 def run_dims(
@@ -178,13 +189,17 @@ def run_dims(
 def run_supplier(
     spark: SparkSession, paths: Paths, run_date: date, incoming: DataFrame | None = None
 ) -> None:
-    """Merge the latest supplier records of all load dates into the supplier history."""
+    """The supplier history of all snapshots in Bronze, in whatever order they arrived; or, with
+    ``incoming``, one snapshot merged into the stored history as of ``run_date``. Numbers and days
+    that cannot be read stop it."""
     if incoming is None:
-        incoming = scd2.latest_suppliers(bronze.read_bronze(spark, paths.bronze, "supplier_data"))
-    existing = read_if_present(
-        spark, gold_path(paths.gold, "dim_supplier"), DIMS["dim_supplier"]
-    )
-    merged = scd2.apply_scd2(existing, incoming, run_date)
+        landed = bronze.read_bronze(spark, paths.bronze, "supplier_data")
+        arrived = landed.where(F.col(LOAD_DATE) == F.lit(run_date))
+        quality.raise_on_failure(clean.unreadable_report(arrived, "supplier_data"), "supplier_data")
+        merged = scd2.history(scd2.latest_suppliers(landed, by_load=True))
+    else:
+        existing = read_if_present(spark, gold_path(paths.gold, "dim_supplier"), DIMS["dim_supplier"])
+        merged = scd2.apply_scd2(existing, incoming, run_date)
     _publish_dim(spark, paths, "dim_supplier", merged, quality.gate_versions)
 
 
@@ -204,32 +219,86 @@ def build_fact(
 FACT_KEYS = {"fact_production": "production_sk", "fact_waste": "waste_sk", "fact_consumption": "consumption_sk"}
 
 
-def run_facts(spark: SparkSession, paths: Paths, pick: str = "all", rebalance: bool = True) -> None:
-    """The four facts, each replaced as a whole, so that months without rows any more are gone.
+def months_of_changed_suppliers(waste: DataFrame, tables: Mapping[str, DataFrame], pick: str) -> DataFrame:
+    """year, month: where the suppliers of an item in ``fact_waste`` are not its current ones.
 
-    ``rebalance`` gathers rows by month before they are written. It may be turned off where all
-    dimensions are small enough to be broadcast: the facts then keep Silver's file layout.
+    Only two keys of the fact are read, and what is joined is their distinct pairs.
     """
-    source = read_silver(spark, paths)
+    have = waste.select(*PARTITIONS, "menu_sk", "supplier_sk").distinct()
+    current = facts.current_suppliers(tables["dim_supplier"], pick).join(
+        tables["dim_menu"].select("menu_item_id", "menu_sk"), "menu_item_id"
+    )
+    want = have.select(*PARTITIONS, "menu_sk").distinct().join(
+        current.select("menu_sk", "supplier_sk"), "menu_sk", "left"
+    )
+    both = have.select(*PARTITIONS, "menu_sk", "supplier_sk", F.lit(1).alias("_side")).unionByName(
+        want.select(*PARTITIONS, "menu_sk", "supplier_sk", F.lit(2).alias("_side"))
+    )
+    sides = both.groupBy(*PARTITIONS, "menu_sk", "supplier_sk").agg(F.sum("_side").alias("_sides"))
+    return sides.where("_sides <> 3").select(*PARTITIONS).distinct()
+
+
+def stale_months(
+    spark: SparkSession, paths: Paths, name: str, tables: Mapping[str, DataFrame], pick: str
+) -> tuple[list[str], list[str], dict]:
+    """The month folders of a fact to build again, those to drop, and the note of the new state.
+
+    A fact's pointer notes which version of each month of Silver it was built from, and for the
+    waste which suppliers. So only months whose Silver changed are built again, whoever
+    changed it and wherever a run was cut short; and of the waste those of items whose current
+    suppliers changed.
+    """
+    path = gold_path(paths.gold, name)
+    source, built = versions.current(spark, paths.silver), versions.current(spark, path)
+    note: dict = {"silver": dict(source.parts)}
+    if name == "fact_waste":
+        suppliers = versions.current(spark, gold_path(paths.gold, "dim_supplier"))
+        note |= {"pick": pick, "suppliers": suppliers.parts[""] if suppliers else ""}
+    if built is None or built.note.get("pick") != note.get("pick"):
+        return sorted(source.parts), [], note
+    known = built.note["silver"]
+    stale = {p for p, version in source.parts.items() if known.get(p) != version}
+    gone = {p for p in built.parts if p not in source.parts}
+    if built.note.get("suppliers") != note.get("suppliers"):
+        rows = read_published(spark, path, FACTS[name])
+        stale |= {f"year={r.year}/month={r.month}" for r in months_of_changed_suppliers(rows, tables, pick).collect()}
+    return sorted(stale & source.parts.keys()), sorted(gone), note
+
+
+def run_facts(
+    spark: SparkSession, paths: Paths, pick: str = "all", rebalance: bool = True, rebuild: bool = False
+) -> dict[str, list[str]]:
+    """The four facts; returns the month folders that were built, by fact.
+
+    Only months that changed (``stale_months``) are read and built; the others stay as they are,
+    and months without rows any more are dropped. ``rebuild`` builds all. ``rebalance`` gathers
+    rows by month before they are written. It may be turned off where all dimensions are small
+    enough to be broadcast: the facts then keep Silver's file layout.
+    """
+    if versions.current(spark, paths.silver) is None:
+        raise FileNotFoundError(f"no table at {paths.silver}")
     tables = {name: read_dim(spark, paths, name) for name in DIMS}
 
     def gate(name: str):
-        def run_checks(written: DataFrame) -> None:
-            quality.gate(written, quality.fact_checks(name), "fail", name)
-            if name in FACT_KEYS:
-                quality.gate_unique(written, FACT_KEYS[name], table=name)
-
-        return run_checks
+        return lambda written: quality.gate_unique(written, FACT_KEYS[name], table=name)
 
+    done: dict[str, list[str]] = {}
     scratch = Scratch(spark)
     try:
         for name in FACTS:
+            stale, gone, note = stale_months(spark, paths, name, tables, pick)
+            if rebuild:
+                stale = sorted(note["silver"])
+            done[name] = stale
+            source = read_published(spark, paths.silver, SILVER, stale)
             publish(
-                spark, build_fact(name, source, tables, pick, scratch),
-                gold_path(paths.gold, name), gate(name), PARTITIONS, rebalance, whole=True,
+                spark, build_fact(name, source, tables, pick, scratch), gold_path(paths.gold, name),
+                gate(name) if name in FACT_KEYS else None, PARTITIONS, rebalance, without=[*stale, *gone],
+                counts=quality.failures(quality.fact_checks(name), "fail"), name=name, note=note,
             )
     finally:
         scratch.drop()
+    return done
 
 
 def run(

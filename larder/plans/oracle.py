@@ -724,6 +724,86 @@ FINALS |= {
         UNION ALL SELECT DISTINCT 'location', location_name FROM dim_location
         UNION ALL SELECT DISTINCT 'cause', root_cause FROM causes"""),
 }
+# Month by month after a second run that brought the logs of March 1997 again, production doubled.
+_FIRST_SUPPLIERS = "(SELECT DISTINCT supplier_id, menu_item_id FROM supplier_records WHERE load_no = 1)"
+_AGAIN = "(year = 1997 AND month = 3)"
+
+
+def _by_month(name: str, amount: str, table: str, factor: str = "1") -> str:
+    return (
+        f"SELECT '{name}' AS table_name, year, month, count(*) AS row_count, "
+        f"{_sum(amount)} * {factor} AS amount, {_AGAIN} AS built_again FROM {table} GROUP BY year, month"
+    )
+
+
+_TWICE = f"(CASE WHEN {_AGAIN} THEN 2 ELSE 1 END)"
+FINALS["incremental_run"] = ("silver supplier_records fact_waste_summary", " UNION ALL ".join((
+    _by_month("silver", "quantity_prepared", "silver", _TWICE),
+    _by_month("fact_production", "quantity_prepared", "silver", _TWICE),
+    _by_month("fact_consumption", "quantity_prepared", "silver", _TWICE),
+    _by_month("fact_waste", "quantity_wasted", f"silver s LEFT JOIN {_FIRST_SUPPLIERS} d "
+              "ON s.menu_item_id = d.menu_item_id WHERE s.waste_reason IS NOT NULL"),
+    _by_month("fact_waste_summary", "total_waste_quantity", "fact_waste_summary"),
+)))
+FINALS["bronze_month_index"] = ("production waste", " UNION ALL ".join(
+    f"SELECT DISTINCT '{source}' AS source, '{day}' AS load_date, strftime(date, '%Y-%m') AS month, true AS read_again "
+    f"FROM {table} {where}"
+    for source, table in (("production_logs", "production"), ("waste_logs", "waste"))
+    for day, where in (("1995-01-01", ""), ("1998-01-01", "WHERE strftime(date, '%Y-%m') = '1997-03'"))
+))
+FINALS["bronze_source_files"] = ("production waste menu location supplier_records", " UNION ALL ".join(
+    f"SELECT '{source}' AS source, 2 AS files, count(*) AS row_count FROM {table}"
+    for source, table in (("production_logs", "production"), ("waste_logs", "waste"), ("menu_data", "menu"),
+                          ("location_data", "location"), ("supplier_data", "supplier_records WHERE load_no = 1"))
+))
+FINALS["scd2_history"] = ("supplier_base", """
+SELECT md5(supplier_id || '|' || day) AS supplier_sk, supplier_id, supplier_name, menu_item_id, supplier_city,
+       lead_time_days, quality_score, CAST(day AS VARCHAR) AS effective_date,
+       CASE WHEN next IS NULL THEN '9999-12-31' ELSE CAST(next - 1 AS VARCHAR) END AS expiry_date, next IS NULL AS is_current
+FROM (
+    SELECT *, lead(day) OVER (PARTITION BY supplier_id ORDER BY day) AS next
+    FROM (
+        SELECT *, lag(quality_score) OVER (PARTITION BY supplier_id ORDER BY day) AS before
+        FROM (
+            SELECT *, DATE '1995-01-01' AS day FROM supplier_base WHERE k % 10 <> 7
+            UNION ALL
+            SELECT * REPLACE (quality_score + CASE WHEN k % 3 = 0 THEN 0.5 ELSE 0 END AS quality_score), DATE '1998-01-01'
+            FROM supplier_base WHERE k % 5 <> 4
+            UNION ALL
+            SELECT * REPLACE (quality_score + CASE WHEN k % 3 = 0 THEN 0.5 ELSE 0 END
+                              + CASE WHEN k % 4 = 0 THEN 0.25 ELSE 0 END AS quality_score), DATE '1998-06-01'
+            FROM supplier_base WHERE k % 5 <> 4 AND k % 7 <> 0
+        )
+    )
+    WHERE before IS NULL OR before <> quality_score
+)""")
+
+
+def _first_shown(mart: str, order: str, *columns: str) -> str:
+    shown = " || '|' || ".join(columns)
+    return (
+        f"SELECT '{mart}' AS mart, position, shown FROM (SELECT CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) "
+        f"AS position, {shown} AS shown FROM ({FINALS[mart][1]})) WHERE position < 20"
+    )
+
+
+def _four(column: str) -> str:
+    return f"CAST(CAST({column} AS DECIMAL(28,4)) AS VARCHAR)"
+
+
+_SHOWN = {
+    "mom_by_location": ("location_name, year, month", "location_name", "year", "month"),
+    "top_menu_items": ("waste_rank", "CAST(waste_rank AS VARCHAR)"),
+    "demand_gap": ("total_demand_gap DESC NULLS LAST", _four("total_demand_gap")),
+    "supplier_quality_vs_waste": (
+        "quality_score, waste_percentage DESC NULLS LAST", _four("quality_score"), _four("waste_percentage")),
+    "reason_by_meal": ("meal_period_name, total_cost DESC NULLS LAST", "meal_period_name", _four("total_cost")),
+    "root_cause": ("waste_percentage DESC NULLS LAST", _four("waste_percentage")),
+}
+FINALS["display_orders"] = (
+    " ".join(dict.fromkeys(" ".join(FINALS[mart][0] for mart in _SHOWN).split())),
+    " UNION ALL ".join(_first_shown(mart, *how) for mart, how in _SHOWN.items()),
+)
 for _name in (
     "dim_date", "dim_category", "fact_production", "fact_waste", "fact_consumption",
     "fact_waste_summary",

@@ -220,6 +220,113 @@ def _whole_run(w: Workspace) -> DataFrame:
     return batch.table_counts({"silver": batch.read_silver(w.spark, paths), **gold})
 
 
+#: The month whose logs come a second time, with twice the production.
+AGAIN = "1997-03"
+
+
+def _two_runs(w: Workspace) -> tuple[batch.Paths, list[str], dict[str, list[str]]]:
+    """A lake after a whole run and a second one whose logs are those of one month: where it is,
+    and the months of Silver and the facts that the second run built."""
+
+    def build(folder: str):
+        first = batch.Paths(raw=f"{folder}/first", root=f"{folder}/lake")
+        second = batch.Paths(raw=f"{folder}/second", root=first.root)
+        doubled = (F.col("quantity_prepared").cast("double") * 2).cast("string")
+        for source, feed in SOURCES.items():
+            raw = testfeeds.supplier_data(w.spark, w.sf_dir, testfeeds.FIRST_LOAD) if source == "supplier_data" else w.raw(source)
+            testfeeds.write_csv_feed(raw.repartition(2), f"{first.raw}/{feed.file}")
+            if source in batch.LOGS:
+                raw = raw.where(strip("date").startswith(AGAIN))
+            if source == "production_logs":
+                raw = raw.withColumn("quantity_prepared", doubled)
+            testfeeds.write_csv_feed(raw, f"{second.raw}/{feed.file}")
+        batch.run(w.spark, first, testfeeds.FIRST_LOAD)
+        batch.run_bronze(w.spark, second, testfeeds.SECOND_LOAD)
+        months = batch.run_silver(w.spark, second, testfeeds.SECOND_LOAD)
+        batch.run_dims(w.spark, second)
+        batch.run_supplier(w.spark, second, testfeeds.SECOND_LOAD)
+        return second, months, batch.run_facts(w.spark, second)
+
+    return w.lake(build)
+
+
+def _incremental_run(w: Workspace) -> DataFrame:
+    """Rows and amounts of every month of Silver and the facts after the second of two runs, and
+    whether that run built the month."""
+    paths, months, built = _two_runs(w)
+    amounts = {
+        "silver": "quantity_prepared", "fact_production": "quantity_prepared", "fact_waste": "quantity_wasted",
+        "fact_consumption": "quantity_prepared", "fact_waste_summary": "total_waste_quantity",
+    }
+    folders = {"silver": [f"year={int(m[:4])}/month={int(m[5:])}" for m in months], **built}
+    tables = {"silver": batch.read_silver(w.spark, paths), **batch.read_gold(w.spark, paths)}
+    found = None
+    for name, amount in amounts.items():
+        folder = F.concat(F.lit("year="), F.col("year"), F.lit("/month="), F.col("month"))
+        one = tables[name].groupBy("year", "month").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum(F.col(amount).cast("decimal(28,8)")).cast("double").alias("amount")
+        ).select(F.lit(name).alias("table_name"), "*", folder.isin(folders[name]).alias("built_again"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _month_index(w: Workspace) -> DataFrame:
+    """The months that each load of the logs holds, as written down when it landed, and the loads
+    that a run over the month which came twice reads."""
+    paths, *_ = _two_runs(w)
+    rows = []
+    for source in batch.LOGS:
+        read = bronze.loads_of_months(w.spark, paths.bronze, source, [AGAIN])
+        for day in (testfeeds.FIRST_LOAD, testfeeds.SECOND_LOAD):
+            for month in bronze.months_of_load(w.spark, paths.bronze, source, day):
+                rows.append((source, day.isoformat(), month, f"{LOAD_DATE}={day.isoformat()}" in read))
+    return w.spark.createDataFrame(rows, f"source string, {LOAD_DATE} string, month string, read_again boolean")
+
+
+def _source_files(w: Workspace) -> DataFrame:
+    """Files and rows of every landed feed, by the file name each record carries."""
+    paths, *_ = _two_runs(w)
+    found = None
+    for source in SOURCES:
+        landed = bronze.read_bronze(w.spark, paths.bronze, source, testfeeds.FIRST_LOAD)
+        one = landed.agg(
+            F.count_distinct("source_file").alias("files"), F.count("source_file").alias("row_count")
+        ).select(F.lit(source).alias("source"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _history(w: Workspace) -> DataFrame:
+    """Supplier versions of three snapshots, which arrive last first."""
+    records = w.bronze("supplier_data")
+    k = F.substring("supplier_id", 4, 10).cast("int")
+    raised = (F.col("quality_score").cast("double") + 0.25).cast("string")
+    third = records.where((F.col(LOAD_DATE) == F.lit(testfeeds.SECOND_LOAD)) & (k % 7 != 0)).withColumns(
+        {LOAD_DATE: F.lit("1998-06-01").cast("date"), "quality_score": F.when(k % 4 == 0, raised).otherwise(F.col("quality_score"))}
+    )
+    return scd2.history(scd2.latest_suppliers(third.unionByName(records), by_load=True))
+
+
+#: The columns by which the rows of each mart are told apart when shown.
+SHOWN = {
+    "mom_by_location": ("location_name", "year", "month"),
+    "top_menu_items": ("waste_rank",),
+    "demand_gap": ("total_demand_gap",),
+    "supplier_quality_vs_waste": ("quality_score", "waste_percentage"),
+    "reason_by_meal": ("meal_period_name", "total_cost"),
+    "root_cause": ("waste_percentage",),
+}
+
+
+def _display_orders(w: Workspace) -> DataFrame:
+    """The first twenty rows of the six marts as shown."""
+    found = None
+    for name, columns in SHOWN.items():
+        one = reports.first_shown(BUILDERS[name](w), name, columns).select(F.lit(name).alias("mart"), "*")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def _fact_keys(w: Workspace) -> DataFrame:
     """Surrogate keys of the facts, and of production rows stored twice."""
     tables = {name: (w[name], key) for name, key in batch.FACT_KEYS.items()}
@@ -291,6 +398,8 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "scd2_gate_report": _version_report,
     "unreadable_report": _unreadable,
     "malformed_rows_report": _malformed,
+    "bronze_month_index": _month_index,
+    "bronze_source_files": _source_files,
     "fact_key_report": _fact_keys,
     "supplier_fanout_report": _fanout,
     # Dimensions
@@ -300,6 +409,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "scd1_menu": _scd1_menu,
     "supplier_latest": _supplier_latest,
     "scd2_supplier": _table("dim_supplier"),
+    "scd2_history": _history,
     "supplier_as_of": _as_of,
     # Facts
     "fact_production": _table("fact_production"),
@@ -309,6 +419,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "fact_waste_summary": _table("fact_waste_summary"),
     "table_counts": _counts,
     "batch_run_counts": _whole_run,
+    "incremental_run": _incremental_run,
     # Marts
     "mom_by_location": _mart(marts.mom_by_location, YEAR),
     "mom_by_location_literal": _mart(marts.mom_by_location_literal, YEAR),
@@ -319,6 +430,7 @@ BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "reason_by_meal": _mart(marts.reason_by_meal, YEAR),
     "reason_by_meal_literal": _mart(marts.reason_by_meal_literal, YEAR),
     "root_cause": _mart(marts.root_cause, YEAR),
+    "display_orders": _display_orders,
     # Reports
     "available_years": _mart(reports.available_years),
     "filter_values": _mart(reports.filter_values, YEAR),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.measures import AMOUNT, exact_mean, exact_sum, percent_of, total_of_totals
@@ -51,29 +51,38 @@ def filter_values(gold: Gold, year: int) -> DataFrame:
     return found.where("value is not null").distinct()
 
 
+def _rising(*names: str) -> list[Column]:
+    return [F.col(name).asc_nulls_last() for name in names]
+
+
+def _falling(name: str) -> list[Column]:
+    return [F.col(name).desc_nulls_last()]
+
+
 #: The order in which each mart and report is shown.
-DISPLAY_ORDER = {
-    "mom_by_location": ("location_name", "year", "month"),
-    "top_menu_items": ("waste_rank", "menu_item_name"),
-    "demand_gap": ("-abs(total_demand_gap)",),
-    "supplier_quality_vs_waste": ("-waste_percentage", "supplier_name"),
-    "reason_by_meal": ("meal_period_name", "-event_count"),
-    "root_cause": ("year", "month", "location_name", "category"),
-    "filter_values": ("kind", "value"),
+DISPLAY_ORDER: dict[str, Callable[[], list[Column]]] = {
+    "mom_by_location": lambda: _rising("location_name", "year", "month"),
+    "top_menu_items": lambda: _rising("waste_rank"),
+    "demand_gap": lambda: _falling("total_demand_gap"),
+    "supplier_quality_vs_waste": lambda: _rising("quality_score") + _falling("waste_percentage"),
+    "reason_by_meal": lambda: _rising("meal_period_name") + _falling("total_cost"),
+    "root_cause": lambda: _falling("waste_percentage"),
+    "filter_values": lambda: _rising("kind", "value"),
 }
 
 
 def in_display_order(df: DataFrame, name: str) -> DataFrame:
-    """A mart in the order in which it is shown; a leading minus means the largest first. The
-    marts themselves are not sorted, as most uses filter or join them further. Columns that a
-    variant lacks are passed over; all others settle ties."""
-    order = []
-    for column in DISPLAY_ORDER[name]:
-        bare = column.lstrip("-").removeprefix("abs(").rstrip(")")
-        if bare in df.columns:
-            by = F.abs(bare) if "abs(" in column else F.col(bare)
-            order.append(by.desc_nulls_last() if column.startswith("-") else by.asc_nulls_last())
-    return df.orderBy(*order, *[F.col(c).asc_nulls_last() for c in df.columns])
+    """A mart in the order in which it is shown. The marts themselves are not sorted, as most
+    uses filter or join them further. All other columns settle ties."""
+    return df.orderBy(*DISPLAY_ORDER[name](), *_rising(*df.columns))
+
+
+def first_shown(df: DataFrame, name: str, columns: Sequence[str], n: int = 20) -> DataFrame:
+    """position, values: the n rows shown first, by the named columns as text."""
+    texts = [F.col(c).cast("decimal(28,4)") if kind == "double" else F.col(c) for c, kind in df.select(*columns).dtypes]
+    shown = in_display_order(df, name).limit(n).select(F.concat_ws("|", *(t.cast("string") for t in texts)).alias("v"))
+    rows = shown.agg(F.collect_list("v").alias("v"))
+    return rows.select(F.posexplode("v").alias("position", "shown"))
 
 
 def kpi_monthly(gold: Gold, year: int) -> DataFrame:

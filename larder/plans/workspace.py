@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from larder.operators import clean, dims, scd2
 from larder.plans.batch import Scratch, build_fact, silver_from_bronze
 from larder.schemas import DIMS, FACTS, LOAD_DATE, PARTITIONS, SILVER
-from larder.sources import bronze, testfeeds
+from larder.sources import bronze, files, testfeeds
 from larder.sources.tables import read_table, write_partitions
 
 BATCH_ID = "batch-1998-01-01"
@@ -33,6 +33,7 @@ class Workspace(Mapping):
         self.sf_dir = sf_dir
         self.stage = Scratch(spark)
         self._stored: dict[str, tuple[str, object]] = {}
+        self._lake: object = None
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         with _lock:
@@ -97,6 +98,13 @@ class Workspace(Mapping):
             "supplier_first", lambda: scd2.apply_scd2(None, self.supplier_snapshot(day), day)
         )
 
+    def lake(self, build: Callable[[str], object]) -> object:
+        """What ``build(folder)`` returns for a lake of CSV feeds and layers, built once."""
+        with _lock:
+            if self._lake is None:
+                self._lake = build(f"{self.stage.folder}/{files.new_name('lake')}")
+            return self._lake
+
     def build_supplier(self) -> DataFrame:
         day = testfeeds.SECOND_LOAD
         return scd2.apply_scd2(self.supplier_first_load(), self.supplier_snapshot(day), day)

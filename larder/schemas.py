@@ -79,7 +79,7 @@ SOURCES = {
 }
 
 # How the columns of a feed are read; a column that is not named is text. "upper" and "lower"
-# are texts of one case, "day" is a date, "whole" and "number" are numbers.
+# are texts of one case, "day" is an ISO date, "any day" one of any common form, "whole" and "number" are numbers.
 READ_AS = {
     "production_logs": {
         "date": "day", "meal_period": "lower", "category": "upper", "quantity_prepared": "number",
@@ -91,7 +91,7 @@ READ_AS = {
     "menu_data": {"category": "upper", "cost_per_unit": "number", "shelf_life_hours": "whole"},
     "location_data": {},
     "supplier_data": {
-        "lead_time_days": "whole", "quality_score": "number", "effective_from": "day",
+        "lead_time_days": "whole", "quality_score": "number", "effective_from": "any day",
     },
 }
 

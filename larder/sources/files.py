@@ -22,55 +22,65 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def _sibling(path: str, mark: str) -> str:
-    head, _, name = path.rstrip("/").rpartition("/")
-    return f"{head}/_{mark}_{name}"
-
-
-def _move(fs, source, target) -> None:
-    if not fs.rename(source, target):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def swap_in(spark: SparkSession, staged: str, final: str) -> None:
-    """Put ``staged`` in the place of ``final``, by renames.
-
-    While the two renames run, a marker file says that the table before them lies beside; see
-    ``recovered``. Without that marker a table that is absent counts as deleted.
-    """
-    fs, source = _path(spark, staged)
-    _, target = _path(spark, final)
-    _, previous = _path(spark, _sibling(final, "previous"))
-    _, marker = _path(spark, _sibling(final, "swapping"))
-    fs.mkdirs(target.getParent())
-    fs.create(marker, True).close()
-    if fs.exists(target):
-        fs.delete(previous, True)
-        _move(fs, target, previous)
-    _move(fs, source, target)
-    fs.delete(previous, True)
-    fs.delete(marker, True)
-
-
-def recovered(spark: SparkSession, path: str) -> str:
-    """Where the table is: in its place, or beside it if a swap was cut short."""
-    if exists(spark, _sibling(path, "swapping")) and not exists(spark, path):
-        return _sibling(path, "previous")
-    return path
-
-
-def swap_in_partitions(spark: SparkSession, staged: str, final: str, depth: int) -> None:
-    """Put every partition folder of ``staged`` in the place of the one of ``final``; the other
-    partitions stay. One rename for each partition; a run cut short is run again."""
-    fs, source = _path(spark, staged)
-    found = fs.globStatus(_path(spark, "/".join([staged, *["*=*"] * depth]))[1]) or []
-    for status in found:
-        folder = status.getPath()
-        part = "/".join(folder.toString().rstrip("/").split("/")[-depth:])
-        _, target = _path(spark, f"{final.rstrip('/')}/{part}")
-        fs.mkdirs(target.getParent())
-        fs.delete(target, True)
-        _move(fs, folder, target)
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, where = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    fs, where = _path(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(where) or []]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _path(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; raises if it exists."""
+    fs, where = _path(spark, path)
+    stream = fs.create(where, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, unpacked if its name says that it is packed."""
+    jvm = spark._jvm
+    fs, where = _path(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(where)
+    stream = fs.open(where)
+    try:
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder and of those in it, or the one file; hidden ones are left out."""
+    fs, where = _path(spark, path)
+    if not fs.exists(where):
+        return []
+    if fs.getFileStatus(where).isFile():
+        return [path]
+    found, todo = [], [where]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            if not status.getPath().getName().startswith(("_", ".")):
+                if status.isDirectory():
+                    todo.append(status.getPath())
+                elif status.getLen():
+                    found.append(status.getPath().toString())
+    return sorted(found)
 
 
 def shared_folder(spark: SparkSession) -> str:

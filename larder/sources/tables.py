@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from larder.sources import files
+from larder.operators import quality
+from larder.sources import versions
 
 Gate = Callable[[DataFrame], None]
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The Parquet files of a folder."""
     return spark.read.schema(schema).parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table, or None if it was never written or is deleted. Any other error is raised.
+def read_published(
+    spark: SparkSession, path: str, schema: StructType, parts: Iterable[str] | None = None
+) -> DataFrame:
+    """A table of ``publish``, or the named partitions of it."""
+    found = versions.read(spark, path, schema, parts)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return found
 
-    A table whose replacement was cut short between two renames is found in its old place.
-    """
-    try:
-        return read_table(spark, files.recovered(spark, path), schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return None
+
+def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table, or None if it was never written or is deleted. Any other error is raised."""
+    return versions.read(spark, path, schema)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -61,6 +65,12 @@ def write_partitions(
     )
 
 
+def _digest(df: DataFrame) -> tuple:
+    """Equal for equal rows in any order."""
+    row = F.xxhash64(*df.columns)
+    return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(row), F.sum(row.cast("decimal(38,0)"))).first())
+
+
 def publish(
     spark: SparkSession,
     df: DataFrame,
@@ -69,27 +79,57 @@ def publish(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     whole: bool = False,
-) -> None:
-    """Write to a staging folder, run the gate on what was written, then move it into place.
-
-    Rows are written once; the gate reads only its columns back from storage. A failed gate
-    leaves the published table as it was. ``df`` may read from ``path``: nothing there changes
-    before all of it is staged. Of a partitioned table the partitions in ``df`` are replaced and
-    the others stay; with ``whole``, or without partitions, the table is replaced altogether.
+    counts: Mapping[str, Column] | None = None,
+    name: str = "",
+    without: Iterable[str] = (),
+    note: Mapping | Callable[[Mapping], Mapping] | None = None,
+    measures: Mapping[str, Column] | None = None,
+    leave_out: Sequence[str] = (),
+    unless_same: bool = False,
+) -> bool:
+    """Write a new version, check it, then commit it; True if the table changed.
+
+    ``counts`` are aggregates that count rows that break a rule: they are taken while the rows are
+    written, and the first above zero, in order, stops the run under ``name``. The columns in
+    ``leave_out`` are there for them and not written. ``gate`` reads what was written and may
+    raise as well. After a failure the table is as it was. Of a partitioned table
+    the partitions in ``df`` are replaced, those in ``without`` go and the others stay; with
+    ``whole``, or without partitions, the table is replaced altogether. ``note`` goes into the
+    pointer; if it is a function, it is made from the values of ``measures``, aggregates that are
+    taken in the same pass. With ``unless_same`` a table whose rows are equal stays as it is.
+    ``df`` may read from ``path``.
     """
     _check_columns(df, partition_by, path)
-    head, _, name = path.rstrip("/").rpartition("/")
-    staged = f"{head}/{files.new_name(f'_staging_{name}')}"
+    version, target = versions.new_folder(path)
     try:
+        watched = {**(counts or {}), **(measures or {})}
+        seen = quality.Watch(watched)
+        if rebalance and partition_by:
+            df = df.hint("rebalance", *partition_by)
+        df = seen.on(df).drop(*leave_out)
         if partition_by:
-            write_partitions(df, staged, partition_by, rebalance)
+            write_partitions(df, target, partition_by)
         else:
-            df.write.parquet(staged)
+            df.write.parquet(target)
+        found = seen.values()
+        quality.raise_on_counts({c: found[c] for c in counts or {}}, name)
+        written = read_table(spark, target, df.schema)
         if gate:
-            gate(read_table(spark, staged, df.schema))
-        if partition_by and not whole:
-            files.swap_in_partitions(spark, staged, path, len(partition_by))
-        else:
-            files.swap_in(spark, staged, path)
-    finally:
-        files.delete(spark, staged)
+            gate(written)
+        before = versions.current(spark, path)
+        if unless_same and before is not None:
+            now = versions.read(spark, path, df.schema)
+            if _digest(now) == _digest(written):
+                versions.discard(spark, path, version)
+                return False
+        if callable(note):
+            note = note(found)
+        kept = {} if before is None or whole or not partition_by else dict(before.parts)
+        for part in without:
+            kept.pop(part, None)
+        kept |= {p: version for p in versions.partitions_of(spark, path, version, len(partition_by))}
+    except BaseException:
+        versions.discard(spark, path, version)
+        raise
+    versions.commit(spark, path, versions.Pointer(kept, note or {}))
+    return True

@@ -82,11 +82,21 @@ def test_bronze_report(spark):
 def test_marts_are_shown_in_order(spark):
     from larder.plans import reports
 
-    df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 1), (None, 1)], "menu_item_name string, waste_rank int")
-    shown = [r.menu_item_name for r in reports.in_display_order(df, "top_menu_items").collect()]
-    assert shown == ["c", None, "a", "b"]
-    gaps = spark.createDataFrame([(-5.0,), (1.0,), (None,), (3.0,)], "total_demand_gap double")
-    assert [r[0] for r in reports.in_display_order(gaps, "demand_gap").collect()] == [-5.0, 3.0, 1.0, None]
+    def shown(name, rows, schema, column=0):
+        return [r[column] for r in reports.in_display_order(spark.createDataFrame(rows, schema), name).collect()]
+
+    assert shown("top_menu_items", [("b", 2), ("a", 2), ("c", 1), (None, 1)], "menu_item_name string, waste_rank int") == ["c", None, "a", "b"]
+    assert shown("demand_gap", [(-5.0,), (1.0,), (None,), (3.0,)], "total_demand_gap double") == [3.0, 1.0, -5.0, None]
+    rows = [("a", 2.0, 1.0), ("b", 1.0, 1.0), ("c", 1.0, 9.0)]
+    assert shown("supplier_quality_vs_waste", rows, "supplier_name string, quality_score double, waste_percentage double") == ["c", "b", "a"]
+    rows = [("lunch", "a", 1.0), ("lunch", "b", 5.0), ("dinner", "c", 0.0)]
+    assert shown("reason_by_meal", rows, "meal_period_name string, waste_reason_name string, total_cost double", 1) == ["c", "b", "a"]
+    rows = [(2, "x", 10.0), (1, "y", 30.0), (3, "z", None)]
+    assert shown("root_cause", rows, "month int, location_name string, waste_percentage double", 1) == ["y", "x", "z"]
+    rows = [("b", 1997, 1), ("a", 1997, 2), ("a", 1997, 1)]
+    assert shown("mom_by_location", rows, "location_name string, year int, month int", 2) == [1, 2, 1]
+    with pytest.raises(Exception, match="waste_percentage"):
+        shown("root_cause", [(1,)], "month int")
 
 
 def test_sums_leave_nothing_out(spark, conf):

@@ -219,3 +219,78 @@ def test_as_of_lookup(spark):
     assert found == {"2025-05-31": "OLD", "2025-06-01": "NEW", "2024-01-01": None}
 
 
+
+
+SNAPSHOT = f"load_date date, {INCOMING}"
+DAYS = [date(2025, 1, 1), date(2025, 2, 1), date(2025, 2, 1 + 14)]
+
+
+def snapshots():
+    """Three snapshots: changed and changed back, changed once, never, absent in the middle, new at
+    the end, with null tracked columns, with another city only."""
+    def row(day, supplier, score=4.5, lead=3, city="Pune", name="Fresh Farms"):
+        return (DAYS[day], supplier, name, "MI001", city, lead, score)
+
+    return [
+        row(0, "A"), row(1, "A", 3.0), row(2, "A"),
+        row(0, "B"), row(1, "B", lead=5), row(2, "B", lead=5),
+        row(0, "C"), row(1, "C"), row(2, "C", city="Delhi"),
+        row(0, "D"), row(2, "D", 2.0),
+        row(2, "E"),
+        row(0, "F", None), row(1, "F", None), row(2, "F", 1.0),
+        row(0, "G", name=" Farm "), row(1, "G", name="Farm"), row(2, "G", name="Farm"),
+        row(0, "H"),
+    ]
+
+
+def versions_of(df):
+    return sorted(map(tuple, df.select(*DIM.names).collect()), key=str)
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1), (1, 2, 0)])
+def test_history_of_all_snapshots_equals_merges_in_order(spark, order):
+    """Whatever the order in which the three arrive."""
+    arrived = [r for k in order for r in snapshots() if r[0] == DAYS[k]]
+    found = scd2.history(spark.createDataFrame(arrived, SNAPSHOT))
+    merged = None
+    for day in DAYS:
+        one = spark.createDataFrame([r for r in snapshots() if r[0] == day], SNAPSHOT).drop("load_date")
+        merged = scd2.apply_scd2(merged, one, day)
+        merged = spark.createDataFrame(merged.collect(), DIM)
+    assert versions_of(found) == versions_of(merged)
+    quality.gate_versions(found)
+    by_supplier = {s: sum(r.supplier_id == s for r in found.collect()) for s in "ABCDEFGH"}
+    assert by_supplier == {"A": 3, "B": 2, "C": 1, "D": 2, "E": 1, "F": 2, "G": 1, "H": 1}
+
+
+def test_history_without_snapshots(spark):
+    assert scd2.history(spark.createDataFrame([], SNAPSHOT)).count() == 0
+
+
+def test_latest_records_of_each_load(spark):
+    """A load without any current flag counts whole; in others only flagged records do."""
+    columns = "load_date date, supplier_id string, quality_score string, is_current string, effective_from string, lead_time_days string"
+    rows = [(*r, "1") for r in [
+        (DAYS[0], "A", "1", "0", "2024-01-01"), (DAYS[0], "A", "2", "0", "31/12/2024 nonsense"), (DAYS[0], "B", "3", None, None),
+        (DAYS[1], "A", "4", "1", "March 5, 2024"), (DAYS[1], "A", "5", "1", "2024-03-04"), (DAYS[1], "B", "6", "0", "2024-01-01"),
+    ]]
+    found = scd2.latest_suppliers(spark.createDataFrame(rows, columns), by_load=True)
+    assert sorted((r.load_date, r.supplier_id, r.quality_score) for r in found.collect()) == [
+        (DAYS[0], "A", 1.0), (DAYS[0], "B", 3.0), (DAYS[1], "A", 4.0),
+    ]
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [
+        ("2025-01-31", (2025, 1, 31)), ("2025-1-3", (2025, 1, 3)), ("2025-01-31 10:11:12", (2025, 1, 31)), ("2025-01-31T10:11", (2025, 1, 31)),
+        ("2025/01/31", (2025, 1, 31)), ("01/31/2025", (2025, 1, 31)), ("1/2/2025", (2025, 1, 2)), ("31 Jan 2025", (2025, 1, 31)),
+        ("31-Jan-2025", (2025, 1, 31)), ("Jan 31, 2025", (2025, 1, 31)), ("January 31, 2025", (2025, 1, 31)), ("20250131", (2025, 1, 31)),
+        ("2025-13-01", None), ("31/31/2025", None), ("soon", None), ("", None), (None, None),
+    ],
+)
+def test_days_in_any_form(spark, text, day):
+    from larder.functions.text import to_any_day
+
+    found = spark.createDataFrame([(text,)], "t string").select(to_any_day("t").alias("d")).first().d
+    assert found == (date(*day) if day else None)

@@ -168,3 +168,34 @@ def test_hot_key_is_split_by_the_silver_join(spark, tmp_path, conf):
 
 def test_dates_survive(spark):
     assert one(builders.silver(spark)).date == date(2025, 1, 1)
+
+
+def test_hot_key_of_one_load_is_summed_over_tasks(spark, tmp_path):
+    """Very many events of one key in its last load: no task but the scans sees more than the few
+    sums of each, and the last load of a key still decides."""
+    schema = f"{builders.WASTE}, load_date date"
+    events = spark.range(0, 60000, 1, 6).selectExpr(
+        "date'2025-01-01' as date", "'LOC001' as location_id", "if(id % 2 = 0, 'MI001', concat('MI', id % 50)) as menu_item_id",
+        "'lunch' as meal_period", "1D as quantity_wasted", "if(id % 3 = 0, 'spoilage', 'overproduction') as waste_reason", "'Serving' as waste_stage",
+        "if(id % 2 = 0, date'2025-02-02', date'2025-02-01') as load_date",
+    )
+    events.write.parquet(str(tmp_path / "w"))
+    stored = spark.read.schema(schema).parquet(str(tmp_path / "w"))
+    plan = silver.waste_to_grain(stored, by_load=True)._jdf.queryExecution().executedPlan().toString()
+    # The window runs over sums: below it stands an aggregate, not the scan.
+    below = plan[plan.index("Window") :]
+    assert "HashAggregate" in below and below.index("HashAggregate") < below.index("Scan parquet")
+    rows = {r.menu_item_id: r for r in silver.waste_to_grain(stored, by_load=True).collect()}
+    assert rows["MI001"].quantity_wasted == 30000.0 and str(rows["MI001"].load_date) == "2025-02-02"
+    assert rows["MI001"].waste_reason == "spoilage" and len(rows) == 26
+
+
+def test_only_the_last_load_of_a_key_counts(spark):
+    schema = f"{builders.WASTE}, load_date date"
+    key = (builders.DAY, "LOC001", "MI001", "lunch")
+    rows = [(*key, 5.0, "spoilage", "Serving", date(2025, 2, 1)), (*key, 1.0, "overproduction", "Storage", date(2025, 2, 2)),
+            (*key, 2.0, "plate waste", "Serving", date(2025, 2, 2)), (None, None, "MI001", None, 7.0, None, None, date(2025, 2, 1))]
+    found = silver.waste_to_grain(spark.createDataFrame(rows, schema), by_load=True).collect()
+    assert {(r.location_id, r.quantity_wasted, r.waste_reason, str(r.load_date)) for r in found} == {
+        ("LOC001", 3.0, "plate waste", "2025-02-02"), (None, 7.0, None, "2025-02-01"),
+    }
