@@ -46,7 +46,9 @@ _SYMBOLS = "!#$%&*+-/=?^_~"
 _KEPT = 8
 
 _NAME = r"\p{Lu}[\p{L}'’-]+"
-_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# An address starts where its letters do and has no more labels than a host may have, so that a
+# long text without spaces is gone through once and without deep recursion.
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}+"
 _SECRET = r"(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,}"
 _ACCESS = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -182,6 +184,7 @@ def _surrogate(key: str) -> Column:
     host = F.regexp_extract(canon, r"@(.*)$", 1)
     top = F.when(host.rlike(r"\.(?:com|net|org)$"), F.regexp_extract(host, r"\.([a-z]+)$", 1)).otherwise(F.lit("com"))
     label = F.regexp_extract(host, r"^([^.]*)", 1)
+    of_host = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("host"), host), 512)  # addresses at one host stay together
     wide = F.concat(F.sha2(F.concat(seed, F.lit("\x1f3")), 512), F.sha2(F.concat(seed, F.lit("\x1f4")), 512))
 
     def more(alphabet: str) -> Column:
@@ -193,7 +196,7 @@ def _surrogate(key: str) -> Column:
 
     email = F.concat(
         _scrambled(F.regexp_extract(canon, r"^([^@]*)", 1), digest), more(_LETTERS), F.lit("@"),
-        _scrambled(label, F.reverse(digest)), F.lit(".example."), top,
+        _scrambled(label, F.concat(of_host, F.reverse(of_host))), F.lit(".example."), top,
     )
 
     def number(n: int, start: int) -> Column:
@@ -300,11 +303,14 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     Without rows the result is empty.
     """
     stored = Stored(docs.sparkSession, "pii")
+    text = F.col("text")
     read = docs.select("doc_id", "text")
-    matches = F.when(F.col("text").rlike(_HINT), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)))
-    looked = read.withColumn("_raw", matches)
-    has = F.coalesce(F.size("_raw") > 0, F.lit(False))
-    hits = looked.where(has).select(F.unhex(F.md5("text")).alias("text_key"), "_raw").dropDuplicates(["text_key"])
+    # Most texts hold nothing. They pass by; the others are stored with what was found in them.
+    has = F.coalesce(text.rlike(_HINT) & text.rlike(_ANY), F.lit(False))
+    found = stored.write(
+        read.where(has).select("doc_id", "text", F.unhex(F.md5("text")).alias("text_key"), F.regexp_extract_all("text", F.lit(_ANY), F.lit(0)).alias("_raw"))
+    )
+    hits = found.select("text_key", "_raw").dropDuplicates(["text_key"])
     occurrences = stored.write(hits.select("text_key", F.posexplode("_raw").alias("pos", "raw")))
     units = stored.write(_units(_typed(occurrences.select("raw").distinct())))
     chosen = surrogates(units.select("unit", "canon"), key, stored)
@@ -325,19 +331,17 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
             F.count("kind").alias("n_replaced"),
         )
     )
-    # All rows are joined, so that the texts are searched once; the smaller side is stored, so
-    # that a text with very many copies can be split.
-    joined = read.withColumn("text_key", F.unhex(F.md5("text"))).join(stored.write(per_text), "text_key", "left")
+    # By a shuffle at every size, whose sides are stored, so that a text with very many copies can
+    # be split.
+    joined = found.select("doc_id", "text", "text_key").join(stored.write(per_text).hint("merge"), "text_key")
     pieces = F.transform(F.split("text", _ANY, -1), lambda piece: _names_replaced(piece, F.col("names")))
     replaced = F.array_join(
         F.flatten(F.transform(pieces, lambda p, i: F.array(p, F.coalesce(F.get(F.col("written"), i)["written"], F.lit(""))))), ""
     )
-    return joined.select(
-        "doc_id",
-        F.when(F.col("written").isNull(), F.col("text")).otherwise(replaced).alias("text"),
-        F.coalesce("n_replaced", F.lit(0)).cast("long").alias("n_replaced"),
-        F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"),
+    clean = read.where(~has).select(
+        "doc_id", "text", F.lit(0).cast("long").alias("n_replaced"), F.array().cast("array<string>").alias("kinds")
     )
+    return clean.unionByName(joined.select("doc_id", replaced.alias("text"), F.col("n_replaced").cast("long").alias("n_replaced"), "kinds"))
 
 
 def _names_replaced(piece: Column, names: Column) -> Column:

@@ -123,3 +123,22 @@ def test_no_python_and_no_documents(spark):
     assert pii.pseudonymised(documents(spark, []), "k").count() == 0
     plan = pii.pseudonymised(documents(spark, ROWS[:2]), "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_texts_without_spaces_end(spark):
+    """Deep or repeated search of one long word would take minutes or the whole stack."""
+    import time
+
+    texts = ["x@" + "a." * 100000 + "1", "y" * 1000000, "x@a.b@" * 50000, "1." * 200000, "Mr. " + "Q" + "q" * 300000, "see x@ab.example.com. Next"]
+    start = time.time()
+    rows = {r["doc_id"]: r for r in pii.pseudonymised(documents(spark, list(enumerate(texts))), "k").collect()}
+    assert time.time() - start < 100 and len(rows) == len(texts)
+    assert rows[1]["text"] == texts[1] and rows[5]["kinds"] == ["email"] and rows[5]["text"].endswith(". Next")
+
+
+def test_addresses_at_one_host_stay_at_one(spark):
+    texts = ["a.b@corp.com wrote", "to c.d@corp.com and e@other.org", "A.B@CORP.COM"]
+    rows = [r["text"] for r in pii.pseudonymised(documents(spark, list(enumerate(texts))), "k").orderBy("doc_id").collect()]
+    hosts = [re.findall(r"@(\S+)", t.lower()) for t in rows]
+    assert hosts[0][0] == hosts[1][0] == hosts[2][0] != hosts[1][1]
+    assert rows[0].split(" ")[0].upper() == rows[2]
