@@ -114,14 +114,13 @@ def publish(
         found = seen.values()
         quality.raise_on_counts({c: found[c] for c in counts or {}}, name)
         written = read_table(spark, target, df.schema)
-        if gate:
-            gate(written)
         before = versions.current(spark, path)
         if unless_same and before is not None:
-            now = versions.read(spark, path, df.schema)
-            if _digest(now) == _digest(written):
+            if _digest(versions.read(spark, path, df.schema)) == _digest(written):
                 versions.discard(spark, path, version)
                 return False
+        if gate:
+            gate(written)
         if callable(note):
             note = note(found)
         kept = {} if before is None or whole or not partition_by else dict(before.parts)
