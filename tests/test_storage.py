@@ -567,7 +567,9 @@ def test_catalog_follows_months_that_go_and_come(spark, paths, tmp_path):
 
     assert months("fact_waste") == ["year=2025/month=1", "year=2025/month=2"]
     write_feeds(tmp_path / "raw", production=[production_row(quantity_prepared="500"), production_row(date="2025-05-01")], waste=[waste_row(date="2025-05-01")])
-    batch.run(spark, paths, date(2025, 3, 2))
+    batch.run_bronze(spark, paths, date(2025, 3, 2))
+    batch.run_silver(spark, paths, date(2025, 3, 2))
+    batch.run_facts(spark, paths)
     catalog.register_tables(spark, paths.gold, "moving")
     # January lost its waste but not its production, whose folder is a new one.
     assert months("fact_waste") == ["year=2025/month=2", "year=2025/month=5"]
