@@ -36,6 +36,7 @@ BURN_IN, SAMPLES = 2, 3
 _EXACT_SEATS = 64  # customers seated one by one; later ones in steps of a 32nd of those seated
 _CHUNK = 2048  # documents packed at a time
 _END = b"\n"  # no word has a line end
+_WAITING = 1 << 20  # documents whose sums a task holds at once
 _DOCS = -1  # the bucket of the rows that describe documents
 _PART = "bucket int, chunk long, data binary"
 
@@ -388,11 +389,49 @@ def _counted(shared):
     return run
 
 
-def _scores(shared, samples: int, sweeps: int):
-    """Sums of the logarithms for each document of each bucket, a packed row for each chunk."""
+class _Sums:
+    """Sums of documents, combined over the buckets of a task before they travel.
+
+    What waits is bounded: beyond ``limit`` documents the combined sums are handed on.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.key = np.zeros(0, np.int64)
+        self.sums = [np.zeros(0) for _ in range(3)]
+
+    def add(self, key: np.ndarray, sums: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        both = np.append(self.key, key)
+        self.key, place = np.unique(both, return_inverse=True)
+        self.sums = [
+            np.bincount(place, np.append(a, b), minlength=len(self.key)) for a, b in zip(self.sums, sums)
+        ]
+        if len(self.key) > self.limit:
+            yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """A packed row for each chunk, 512 chunks to a batch; nothing waits after it."""
+        chunks, doc = self.key >> 16, (self.key & 0xFFFF).astype(np.uint16)
+        known, base, score = self.sums
+        starts = _runs(chunks)
+        ends = np.append(starts[1:], len(chunks))
+        self.__init__(self.limit)
+        for first in range(0, len(starts), 512):
+            some = slice(first, first + 512)
+            packed = [
+                _pack(doc=doc[a:b], known=known[a:b].astype(np.int32), base=base[a:b], score=score[a:b])
+                for a, b in zip(starts[some].tolist(), ends[some].tolist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunks[starts[some]]), pa.array(packed, pa.binary())], names=["chunk", "data"]
+            )
+
+
+def _scores(shared, samples: int, sweeps: int, limit: int = _WAITING):
+    """Sums of the logarithms for each document, over the buckets of a task, packed by chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = shared.value
+        totals, waiting = shared.value, _Sums(limit)
         for batch in batches:
             for number, data in zip(batch["bucket"], batch["data"]):
                 bucket = Bucket.unpacked(data.as_py())
@@ -411,16 +450,8 @@ def _scores(shared, samples: int, sweeps: int):
                 known = (counts > 0)[bucket.type_dish]
                 owner = np.repeat(np.arange(len(bucket.uses)), bucket.uses)
                 key, place = np.unique(bucket.chunk * (1 << 16) + bucket.doc, return_inverse=True)
-                sums = [np.bincount(place, v[owner], minlength=len(key)) for v in (known, base, model)]
-                chunks, doc = key >> 16, (key & 0xFFFF).astype(np.uint16)
-                starts = _runs(chunks)
-                rows = [
-                    _pack(doc=doc[a:b], known=sums[0][a:b].astype(np.int32), base=sums[1][a:b], score=sums[2][a:b].astype(np.float32))
-                    for a, b in zip(starts.tolist(), np.append(starts[1:], len(chunks)).tolist())
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunks[starts]), pa.array(rows, pa.binary())], names=["chunk", "data"]
-                )
+                yield from waiting.add(key, [np.bincount(place, v[owner], minlength=len(key)) for v in (known, base, model)])
+        yield from waiting.rows()
 
     return run
 

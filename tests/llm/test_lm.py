@@ -146,3 +146,27 @@ def test_sweeps_sample_the_posterior():
 
 def test_no_documents(spark):
     assert lm.scored(documents(spark, [])).count() == 0
+
+
+def test_sums_combine_over_buckets_and_are_handed_on_beyond_the_limit():
+    draw = np.random.default_rng(5)
+    for limit in (0, 7, 10_000):
+        waiting, expected, batches = lm._Sums(limit), {}, []
+        for _ in range(6):
+            key = np.unique(draw.integers(0, 5, 30) * (1 << 16) + draw.integers(0, 9, 30))
+            sums = [draw.random(len(key)).round(3) for _ in range(3)]
+            sums[0] = np.ceil(sums[0])
+            batches += waiting.add(key, sums)
+            for k, *values in zip(key.tolist(), *(s.tolist() for s in sums)):
+                expected[k] = [a + b for a, b in zip(expected.get(k, [0, 0, 0]), values)]
+        batches += waiting.rows()
+        found = {}
+        for batch in batches:
+            for chunk, data in zip(batch["chunk"].to_pylist(), batch["data"].to_pylist()):
+                p = lm._unpack(data)
+                for doc, *values in zip(*(p[c].tolist() for c in ("doc", "known", "base", "score"))):
+                    k = (chunk << 16) + doc
+                    found[k] = [a + b for a, b in zip(found.get(k, [0, 0, 0]), values)]
+        assert found.keys() == expected.keys()
+        assert all(np.allclose(found[k], expected[k], atol=1e-12) for k in found)
+        assert not list(waiting.rows())
