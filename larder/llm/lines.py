@@ -1,20 +1,22 @@
 """Lines that many documents share, kept in one of them.
 
-Line hashes are range-partitioned together with the document and sorted by hash, document and
-position, so the occurrences of a line stream by in order, however many there are, and a common
-line lies in several partitions. The result is a bitmap of kept lines for each document, in run
-lengths; texts are not part of it.
+Line hashes are range-partitioned together with a stretch of document ids and sorted by hash,
+document and position, so the occurrences of a line stream by in order, however many there are,
+and a common line lies in several partitions. A stretch hands on only how many documents it saw;
+the first occurrence is that of the line's last stretch. The result is a bitmap of kept lines for
+each document, in run lengths; texts are not part of it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.shared import Stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = " \t\n\x0b\x0c\r"
+_STRETCHES = 256  # parts that the occurrences of one line can be split into
 
 
 def key_of(line: Column) -> Column:
@@ -45,31 +47,64 @@ def _runs(dropped: Column, n_lines: Column) -> Column:
     return F.concat(F.flatten(pairs), F.array(n_lines - 1 - F.element_at(ends, -1)))
 
 
+def _stretch(docs: DataFrame) -> Column:
+    """The number of the range of ids that ``doc_id`` lies in, of at most ``_STRETCHES`` ranges
+    with about as many documents each; -1 for a null id."""
+    shares = [k / _STRETCHES for k in range(1, _STRETCHES)]
+    bounds = docs.agg(F.percentile_approx("doc_id", shares, 10_000).alias("bounds")).first()["bounds"]
+    below = F.array(*(F.lit(b) for b in sorted(set(bounds or ()))))
+    return F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(below, lambda b: b < F.col("doc_id"))))
+
+
+def in_order(seen: DataFrame) -> DataFrame:
+    """The occurrences (``key``, ``stretch``, ``doc_id``, ``pos`` and more) as they stream by.
+
+    They are dealt by ranges of the hash and the stretch of ids, and sorted by them, the document
+    (largest first) and the position. ``opens`` marks the first occurrence in each document and
+    ``place`` counts the documents of the stretch so far, so the largest has place 1. A key's
+    stretches lie in any number of tasks; what they need of each other is which of them is last.
+    """
+    stream = Window.partitionBy("key", "stretch").orderBy(F.desc("doc_id"), "pos")
+    before = F.lag("doc_id").over(stream)
+    opens = F.col("doc_id").isNotNull() & (before.isNull() | (before != F.col("doc_id")))
+    so_far = F.sum(F.col("opens").cast("int")).over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return seen.repartitionByRange("key", "stretch").withColumn("opens", opens).withColumn("place", so_far)
+
+
 def keep_bitmaps(docs: DataFrame, min_length: int = 40, min_docs: int = 5) -> DataFrame:
     """The kept lines of every distinct (``doc_id``, text) that loses any.
 
     Returns ``doc_id``, ``text_key`` (of the text), ``n_lines``, ``n_dropped`` and ``keep_runs``,
     the bitmap as run lengths: kept, dropped, kept and so on. A line whose key has ``min_length``
     code points and is found under ``min_docs`` different ids is dropped everywhere but under the
-    largest of them. A null id counts for nothing and keeps none of these lines.
+    largest of them. Ids are integers; a null id counts for nothing and keeps none of these lines.
     """
     stored = Stored(docs.sparkSession, "lines")
-    split = docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), _lines(F.col("text")).alias("lines"))
-    exploded = split.select("doc_id", "text_key", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
+    split = docs.select(
+        "doc_id", _stretch(docs).alias("stretch"), _text_key(F.col("text")).alias("text_key"), _lines(F.col("text")).alias("lines")
+    )
+    exploded = split.select(
+        "doc_id", "stretch", "text_key", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line")
+    )
     long_lines = exploded.withColumn("line", F.btrim("line", F.lit(_SPACE))).where(F.char_length("line") >= min_length)
+    # Stored, as the bounds of the ranges take a look at the rows before they are dealt.
     seen = stored.write(
-        long_lines.select(F.unhex(F.md5(key_of(F.col("line")))).alias("key"), "doc_id", "pos", "n_lines", "text_key")
+        long_lines.select(
+            F.unhex(F.md5(key_of(F.col("line")))).alias("key"), "stretch", "doc_id", "pos", "n_lines", "text_key"
+        )
     )
-    ordered = seen.repartitionByRange("key", "doc_id").sortWithinPartitions("key", F.desc("doc_id"), "pos")
-    holders = ordered.where("doc_id is not null").groupBy("key", "doc_id").agg(F.count("*").alias("n"))
+    streamed = stored.write(in_order(seen))
+    stored.drop(seen)
     shared = stored.write(
-        holders.groupBy("key")
-        .agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        streamed.where("opens")
+        .groupBy("key")
+        .agg(F.count("*").alias("n_docs"), F.max("stretch").alias("last"))
         .where(F.col("n_docs") >= min_docs)
+        .select("key", "last")
     )
     dropped = (
-        seen.join(shared, "key")
-        .where("doc_id is null or doc_id < keeper")
+        streamed.join(shared, "key")
+        .where("not (stretch = last and place = 1)")
         .groupBy("doc_id", "text_key", "n_lines")
         .agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
     )

@@ -54,3 +54,25 @@ def test_no_python_in_the_plan(spark):
 
 def test_no_documents(spark):
     assert lines.line_digests(documents(spark, [])).count() == 0
+
+
+def test_a_line_streams_in_order_over_many_stretches(spark):
+    rows = [(k, f"{SHARED}\nown {k}\n{SHARED}") for k in range(3000)] + [(None, SHARED)]
+    found = {r["doc_id"]: r for r in lines.keep_bitmaps(documents(spark, rows)).collect()}
+    assert found.keys() == {None, *range(2999)}
+    assert all(found[k]["keep_runs"] == [0, 1, 1, 1, 0] for k in range(2999))
+    assert found[None]["keep_runs"] == [0, 1, 0]
+
+
+def test_occurrences_are_sorted_in_ranges_and_moved_once(spark):
+    seen = spark.createDataFrame(
+        [(bytes([k % 3]), k // 10, k, 0, 1, b"t") for k in range(60)],
+        "key binary, stretch int, doc_id long, pos int, n_lines int, text_key binary",
+    )
+    df = lines.in_order(seen)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+    assert "doc_id#" in plan.split("Sort [key#")[1].split("\n")[0] and "pos#" in plan.split("Sort [key#")[1].split("\n")[0]
+    assert plan.count("Window") >= 1
+    first = {(r["key"], r["stretch"]): r["doc_id"] for r in df.where("place = 1").collect()}
+    assert all(d == max(k for k in range(60) if bytes([k % 3]) == key and k // 10 == s) for (key, s), d in first.items())
