@@ -13,19 +13,24 @@ def components(edges: DataFrame, stored: Stored) -> DataFrame:
 
     Returns ``id`` and ``component``, the smallest vertex reachable. Alternating large-star and
     small-star rounds: each vertex hangs its neighbours, then itself, on the smallest neighbour.
-    The minimum of a vertex is a sum-like aggregate that combines before the shuffle, and it
-    reaches the vertex's edges by a join that adaptive execution can split, so a vertex with a
-    third of all edges is never gathered in one task. Each round's edges are a stored table and
-    the table before is removed. Loops, repeated edges and edges with a null end have no effect;
+    The minimum of a vertex is a sum-like aggregate that combines before the shuffle. It is stored
+    before it reaches the vertex's edges, by a join that adaptive execution can then split, so a
+    vertex with a third of all edges is never gathered in one task. Each round's edges are a stored
+    table, and the tables before are removed. Loops, repeated edges and edges with a null end have no effect;
     without edges the result is empty.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
     current = stored.write(edges.distinct())
     before = _state(current)
     while before[0]:
-        following = stored.write(_small_star(_large_star(current)))
+        both = _both_ways(current)
+        least = stored.write(both.groupBy("u").agg(F.min("v").alias("least")))
+        large = stored.write(_large_star(both, least))
+        least_below = stored.write(large.groupBy("hi").agg(F.min("lo").alias("least")))
+        following = stored.write(_small_star(large, least_below))
         after = _state(following)
-        stored.drop(current)
+        for table in (current, least, large, least_below):
+            stored.drop(table)
         current = following
         if after == before:
             break
@@ -43,12 +48,14 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Larger neighbours of every vertex, hung on the smallest of it and its neighbours."""
-    both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
-    smallest = both.groupBy("u").agg(F.min("v").alias("least"))
+
+
+def _large_star(both: DataFrame, smallest: DataFrame) -> DataFrame:
+    """Larger neighbours of every vertex, hung on the smallest of it and its neighbours."""
     return (
         both.where("v > u")
         .join(smallest, "u")
@@ -57,9 +64,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, smallest: DataFrame) -> DataFrame:
     """A vertex and its smaller neighbours, hung on the smallest of them."""
-    smallest = edges.groupBy("hi").agg(F.min("lo").alias("least"))
     moved = (
         edges.join(smallest, "hi")
         .where("lo <> least")

@@ -249,13 +249,13 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def near_links(distinct: DataFrame, radius: int) -> DataFrame:
+def near_links(distinct: DataFrame, radius: int, stored: Stored) -> DataFrame:
     """Links ``a``, ``b`` among the distinct values of ``fingerprint`` that connect exactly the
     fingerprints reachable by steps of at most ``radius`` differing bits."""
     masks = [_signed(m) for m in block_masks(radius)]
     keyed = distinct.select("fingerprint", F.posexplode(F.array(*(F.lit(m) for m in masks))).alias("mask", "bits"))
     keyed = keyed.select("fingerprint", "mask", F.col("fingerprint").bitwiseAND(F.col("bits")).alias("block"))
-    return links_in_units(tile_pairs(keyed, ["mask", "block"], "fingerprint"), ["mask", "block"], radius)
+    return links_in_units(tile_pairs(keyed, ["mask", "block"], "fingerprint", stored), ["mask", "block"], radius)
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
@@ -282,11 +282,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFram
 def classes(found: DataFrame, radius: int, stored: Stored) -> DataFrame:
     """``fingerprint`` and ``component_id`` of the distinct fingerprints of ``found``."""
     first = stored.write(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
-    parts = components(near_links(first.select("fingerprint"), radius), stored)
+    parts = components(near_links(first.select("fingerprint"), radius, stored), stored)
     rooted = first.join(parts, F.col("fingerprint") == F.col("id"), "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    smallest = stored.write(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     return stored.write(rooted.join(smallest, "root").select("fingerprint", "component_id"))
 
 
@@ -393,12 +393,12 @@ def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, rad
     )
     pairs = [F.xxhash64(F.lit(k), *(F.col("anchors")[i] for i in chosen)) for k, chosen in enumerate(combinations(range(anchors), 2))]
     blocks = sets.select("set_id", "fingerprint", F.explode(F.array(*pairs)).alias("block"))
-    links = links_in_units(tile_pairs(blocks, ["block"], "set_id"), ["block"], radius, node="set_id")
+    links = links_in_units(tile_pairs(blocks, ["block"], "set_id", stored), ["block"], radius, node="set_id")
     met = stored.write(components(links, stored).withColumnRenamed("id", "set_id"))
     wanted = sets.join(met, "set_id").select("set_id", "text_key")
     texts = keyed.select("text_key", "text").join(wanted, "text_key").select("set_id", "text")
     known = stored.write(_shingle_sets(texts, size).dropDuplicates(["set_id"]).join(sets.select("set_id", "fingerprint"), "set_id"))
-    dealt = tile_pairs(met, ["component"], "set_id", tile=_SETS).join(known, "set_id")
+    dealt = tile_pairs(met, ["component"], "set_id", stored, tile=_SETS).join(known, "set_id")
     alike = stored.write(_alike(dealt, similarity, radius))
     stored.drop(known)
     parts = components(alike, stored).withColumnRenamed("id", "set_id")

@@ -13,16 +13,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.shared import Stored
+
 TILE = 2048
 
 
-def tile_pairs(rows: DataFrame, keys: list[str], member: str, tile: int = TILE, within: bool = False) -> DataFrame:
+def tile_pairs(
+    rows: DataFrame, keys: list[str], member: str, stored: Stored, tile: int = TILE, within: bool = False
+) -> DataFrame:
     """``rows`` of groups of two and more, with the work units ``tile_a`` and ``tile_b`` they
     belong to and ``tile``, their own. A group of one tile is the unit (0, 0). Of more tiles
     the units are the pairs a < b, and also a = b if ``within``. The work of a group grows with
     the square of its size, its copies in the shuffle with the square over the tile's size.
+    The sizes are a stored table: only so both sides of the join that brings them to the members
+    are shuffled directly below it, and adaptive execution splits a group of any size.
     """
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n_members")).where("n_members > 1")
+    counts = stored.write(rows.groupBy(*keys).agg(F.count("*").alias("n_members")).where("n_members > 1"))
     n_tiles = F.ceil(F.col("n_members") / F.lit(tile)).cast("int")
     dealt = (
         rows.join(counts, keys)

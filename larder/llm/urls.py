@@ -116,7 +116,8 @@ def url_verdicts(
     rule, verdict = _rule_of(rules)
     parts = stored.write(components(edges, stored))
     ruled = parts.withColumns({"host": host_of(F.col("id")), "path": path_of(F.col("id"))}).withColumn("own", verdict)
-    decided = (
+    # Stored, so that the join below is one that can split a component with very many addresses.
+    decided = stored.write(
         ruled.where("own is not null")
         .groupBy("component")
         .agg(F.min("own").alias("shared"))  # allow comes before block

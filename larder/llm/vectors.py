@@ -191,7 +191,7 @@ def vector_classes(vectors: DataFrame, cosine: float = COSINE, column: str = "em
     unit = stored.write(unit)
     lists = inverted_lists(unit, pivots_of(unit) if pivots is None else pivots)
     keys = ["list", "dim"]
-    dealt = in_units(tile_pairs(lists, keys, "vec_id", within=True), keys, ["tile", "vec_id"])
+    dealt = in_units(tile_pairs(lists, keys, "vec_id", stored, within=True), keys, ["tile", "vec_id"])
     found = stored.write(
         dealt.select("list", "dim", "near", "vec_id", "unit", "tile", "tile_a", "tile_b").mapInArrow(
             lambda batches: _verified(batches, cosine), "vec_id long, n_links long, other long"

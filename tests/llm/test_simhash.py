@@ -5,6 +5,7 @@ import pytest
 import xxhash
 
 from larder.llm import simhash
+from larder.llm.shared import Stored
 from tests.llm.data import documents, joined, prose, with_clashes
 
 
@@ -60,7 +61,7 @@ def test_near_fingerprints_share_a_block():
 def test_links_find_all_reachable(spark):
     values = np.unique(near_values(400, 9))
     df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fingerprint long")
-    links = [(r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in simhash.near_links(df, 3).collect()]
+    links = [(r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in simhash.near_links(df, 3, Stored(spark, "t")).collect()]
     members = values.tolist()
     near = [(a, b) for a, b in combinations(members, 2) if (a ^ b).bit_count() <= 3]
     assert joined(links, members) == joined(near, members)
