@@ -25,8 +25,8 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of similar texts stays."""
-    return simhash.without_similar(docs)
+    """One document of each class of op1 stays: texts whose fingerprints link."""
+    return simhash.without_near_duplicates(docs)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

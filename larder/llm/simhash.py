@@ -14,7 +14,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.graph import components
@@ -290,6 +290,41 @@ def classes(found: DataFrame, radius: int, stored: Stored) -> DataFrame:
     return stored.write(rooted.join(smallest, "root").select("fingerprint", "component_id"))
 
 
+def without_near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one row of each class of ``near_duplicates``: that of the smallest doc_id.
+
+    Texts without words are one class. Null ids come last, so such a row stays only in a class
+    without ids; of rows that are equal in id and text one stays. All columns of ``docs`` are kept,
+    whatever their names.
+    """
+    spark = docs.sparkSession
+    workers_find_package(spark)
+    stored = Stored(spark, "near")
+    found = stored.write(fingerprints(docs.select(*_own_key(), "text"), size, ("doc_id", "text_key")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    distinct = stored.write(found.groupBy("fingerprint").agg(first))
+    parts = components(near_links(distinct.select("fingerprint"), radius, stored), stored)
+    rooted = distinct.join(parts, F.col("fingerprint") == F.col("id"), "left")
+    least = rooted.groupBy(F.coalesce("component", "fingerprint").alias("root")).agg(F.min("first").alias("first"))
+    return _only(docs, stored.write(least.select("first.doc_id", "first.text_key")))
+
+
+def _own_key() -> list[Column]:
+    """``doc_id`` and ``text_key``, a digest of the text: what tells rows apart."""
+    text_key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    return [F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key")]
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each row of ``kept`` (``doc_id``, ``text_key``)."""
+    rows = docs.select(F.struct("*").alias("row"), *_own_key())
+    own = (rows["text_key"] == kept["text_key"]) & rows["doc_id"].eqNullSafe(kept["doc_id"])
+    numbered = rows.join(kept, own, "left_semi").withColumn(
+        "n", F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy(F.lit(1)))
+    )
+    return numbered.where("n = 1").select("row.*")
+
+
 # --- similar texts -------------------------------------------------------------------------
 
 ANCHORS = 6
@@ -383,8 +418,7 @@ def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, rad
     spark = docs.sparkSession
     workers_find_package(spark)
     stored = Stored(spark, "similar")
-    text_key = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key"), "text")
+    keyed = docs.select(*_own_key(), "text")
     signed = stored.write(_signatures(keyed, size, anchors))
     sets = stored.write(
         signed.groupBy("set_id").agg(
@@ -407,9 +441,4 @@ def without_similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, rad
     kept = stored.write(
         rooted.groupBy(F.coalesce("component", "set_id").alias("root")).agg(first).select("first.doc_id", "first.text_key")
     )
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key"))
-    own = (rows["text_key"] == kept["text_key"]) & rows["doc_id"].eqNullSafe(kept["doc_id"])
-    numbered = rows.join(kept, own, "left_semi").withColumn(
-        "n", F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy(F.lit(1)))
-    )
-    return numbered.where("n = 1").select("row.*")
+    return _only(docs, kept)

@@ -30,7 +30,7 @@ SHARDS = 8
 MOST_SLOTS = 20_000_000
 ROUNDS, STEPS, _BATCH = 6, 120, 16
 _RATE, _DECAY, _START, _SQUARES = 0.5, 1e-5, -6.0, 0.1
-_KNOWN_WORDS = 500_000  # words whose score a task keeps
+_KNOWN_WORDS = 1 << 17  # words whose score or slots a task keeps
 PREDICT_AT = 0.3
 
 

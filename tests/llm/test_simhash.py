@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from larder.llm import simhash
 from larder.llm.shared import Stored
 from tests.llm.data import documents, joined, prose, with_clashes
@@ -113,3 +114,18 @@ def test_similar_texts_keep_one(spark):
     part = joined(near, range(len(rows)))
     expected = {min(rows[k][0] for k in part if part[k] == p and rows[k][0] is not None) for p in part.values()}
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(expected)
+
+
+def test_pipeline_keeps_one_of_each_simhash_class(spark):
+    again = [" ".join([prose(50 + g, 30)] * 20) for g in range(4)]
+    rows = [(g * 10, t) for g, t in enumerate(again)] + [(g * 10 + 5, f"{t} {prose(90 + g, 12)}") for g, t in enumerate(again)]
+    rows += [(100, prose(3, 60)), (101, prose(3, 60).upper()), (102, None), (103, " "), (5, prose(4, 60)), (5, prose(4, 60)), (None, prose(4, 60)), (None, prose(6, 60))]
+    prints = [brute_fingerprint(t) for _, t in rows]
+    near = [(a, b) for a, b in combinations(range(len(rows)), 2) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    assert any(jaccard(rows[a][1], rows[b][1]) < 0.8 for a, b in near)
+    part = joined(near, range(len(rows)))
+    expected = [min((rows[k][0] for k in part if part[k] == p and rows[k][0] is not None), default=None) for p in set(part.values())]
+    df = with_clashes(documents(spark, rows))
+    kept = corpus_pipeline.near_duplicates_out(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(expected, key=str)
