@@ -38,19 +38,22 @@ def waste_to_grain(waste: DataFrame, by_load: bool = False) -> DataFrame:
     )
 
 
+#: The columns of Silver that come from each of the sides joined to production.
+OF_WASTE = (
+    "quantity_wasted", "waste_reason", "waste_stage", "waste_percentage", "waste_cost", "quantity_consumed",
+)
+OF_MENU = ("sub_category", "veg_flag", "shelf_life_hours", "prep_complexity")
+OF_LOCATION = tuple(c for c in LOCATION_ATTRIBUTES if c != "location_name")
+
+
 def menu_lookup(menu: DataFrame) -> DataFrame:
     """One row per menu item, without the columns production already carries."""
-    kept = menu.select(
-        "menu_item_id", "sub_category", "veg_flag", "shelf_life_hours", "prep_complexity"
-    )
-    return first_by_text(kept, "menu_item_id")
+    return first_by_text(menu.select("menu_item_id", *OF_MENU), "menu_item_id")
 
 
 def location_lookup(locations: DataFrame) -> DataFrame:
     """Cleaned locations without the name, which production already carries."""
-    return locations.select(
-        "location_id", *[c for c in LOCATION_ATTRIBUTES if c != "location_name"]
-    )
+    return locations.select("location_id", *OF_LOCATION)
 
 
 def latest_loads(feed: DataFrame) -> DataFrame:
@@ -70,7 +73,7 @@ def _with_waste(production: DataFrame, waste_grain: DataFrame) -> DataFrame:
 
 
 def build_silver(
-    production: DataFrame, waste_grain: DataFrame, menu: DataFrame, locations: DataFrame
+    production: DataFrame, waste_grain: DataFrame | None, menu: DataFrame | None, locations: DataFrame | None
 ) -> DataFrame:
     """Production rows with their waste, menu and location attributes and four measures.
 
@@ -78,24 +81,28 @@ def build_silver(
     above). When they are stored tables, as in the batch run, Spark knows their size: it
     broadcasts a small one, and shuffles both sides of a large one directly below the join,
     where adaptive execution can split a skewed key. With load dates on both sides, waste of a
-    load before the one that gave the production row is left out.
+    load before the one that gave the production row is left out. A side that is None is not
+    joined and its columns are missing; the rows are the same.
     """
-    joined = (
-        _with_waste(production, waste_grain)
-        .join(menu, "menu_item_id", "left")
-        .join(locations, "location_id", "left")
-    )
+    joined = production if waste_grain is None else _with_waste(production, waste_grain)
+    if menu is not None:
+        joined = joined.join(menu, "menu_item_id", "left")
+    if locations is not None:
+        joined = joined.join(locations, "location_id", "left")
     wasted, prepared = F.col("quantity_wasted"), F.col("quantity_prepared")
-    measured = joined.withColumn("quantity_wasted", F.coalesce(wasted, F.lit(0.0))).withColumns(
-        {
+    measures = {
+        "demand_gap": F.col("planned_quantity") - F.col("actual_served_estimate"),
+        "year": F.year("date"),
+        "month": F.month("date"),
+    }
+    if waste_grain is not None:
+        joined = joined.withColumn("quantity_wasted", F.coalesce(wasted, F.lit(0.0)))
+        measures |= {
             "waste_percentage": F.when(prepared > 0, wasted / prepared * 100).otherwise(0.0),
             "waste_cost": wasted * F.col("cost_per_unit"),
             "quantity_consumed": prepared - wasted,
-            "demand_gap": F.col("planned_quantity") - F.col("actual_served_estimate"),
-            "year": F.year("date"),
-            "month": F.month("date"),
         }
-    )
+    measured = joined.withColumns(measures)
     return measured.select([c for c in SILVER.names if c in measured.columns])
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -68,14 +68,20 @@ def run_bronze(
         bronze.land(spark, raw, source, paths.bronze, run_date, batch_id, ingested_at)
 
 
-def silver_from_bronze(read, stage) -> DataFrame:
-    """``read(source)`` gives a Bronze feed; ``stage`` stores an intermediate."""
+def silver_from_bronze(read, stage, columns: Iterable[str] = SILVER.names) -> DataFrame:
+    """``read(source)`` gives a Bronze feed; ``stage`` stores an intermediate. Of the sides only
+    those are joined that give one of ``columns``: no side changes the rows of production."""
+    wanted = set(columns)
+
+    def side(names: Iterable[str], build) -> DataFrame | None:
+        return None if wanted.isdisjoint(names) else build()
+
     return silver.build_silver(
         clean.clean_production(read("production_logs")),
-        silver.waste_to_grain(clean.clean_waste(read("waste_logs"))),
-        stage(silver.menu_lookup(clean.clean_menu(read("menu_data")))),
-        stage(silver.location_lookup(clean.clean_location(read("location_data")))),
-    )
+        side(silver.OF_WASTE, lambda: silver.waste_to_grain(clean.clean_waste(read("waste_logs")))),
+        side(silver.OF_MENU, lambda: stage(silver.menu_lookup(clean.clean_menu(read("menu_data"))))),
+        side(silver.OF_LOCATION, lambda: stage(silver.location_lookup(clean.clean_location(read("location_data"))))),
+    ).select(*columns)
 
 
 def silver_of_months(read, months: DataFrame, stage) -> DataFrame:

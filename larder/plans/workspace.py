@@ -8,19 +8,31 @@ the data folder, so a new session starts afresh.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import clean, dims, scd2
 from larder.plans.batch import Scratch, build_fact, silver_from_bronze
-from larder.schemas import DIMS, FACTS, LOAD_DATE, PARTITIONS, SILVER
+from larder.schemas import (
+    DIMS, FACTS, GRAIN, LOAD_DATE, LOCATION_ATTRIBUTES, MENU_ATTRIBUTES, PARTITIONS, SILVER,
+)
 from larder.sources import bronze, files, testfeeds
 from larder.sources.tables import read_table, write_partitions
 
 BATCH_ID = "batch-1998-01-01"
 
+#: Gold tables that need so few columns of Silver that they do not have it stored for themselves.
+_FEW = {
+    "dim_date": ("date", "year"),
+    "dim_category": ("category",),
+    "dim_location": ("date", "location_id", *LOCATION_ATTRIBUTES),
+    "dim_menu": ("date", "menu_item_id", *MENU_ATTRIBUTES),
+    "fact_waste": (*GRAIN, "waste_reason", "quantity_wasted", "waste_percentage", "waste_cost", *PARTITIONS),
+    "fact_waste_summary": ("location_id", "category", "quantity_wasted", "waste_percentage", "waste_cost", *PARTITIONS),
+}
+
 _open: dict[tuple[str, str], Workspace] = {}
 _lock = threading.RLock()
 
@@ -41,8 +53,8 @@ class Workspace(Mapping):
                 df = build()
                 path = f"{self.stage.folder}/{name}"
                 if name == "silver" or name in FACTS:
-                    # Facts over Silver keep its layout; the joins and the summary do not.
-                    rebalance = name in ("silver", "fact_waste_summary")
+                    # Facts over stored Silver keep its layout; the joins and the summary do not.
+                    rebalance = name in ("silver", "fact_waste_summary") or "silver" not in self._stored
                     write_partitions(df, path, PARTITIONS, rebalance)
                 else:
                     df.write.mode("overwrite").parquet(path)
@@ -82,11 +94,18 @@ class Workspace(Mapping):
     def silver(self) -> DataFrame:
         return self._table("silver", self.build_silver)
 
-    def build_silver(self) -> DataFrame:
+    def build_silver(self, columns: Iterable[str] = SILVER.names) -> DataFrame:
         def read(source: str) -> DataFrame:
             return self.bronze(source).drop(LOAD_DATE)
 
-        return silver_from_bronze(read, self.stage).select(*SILVER.names)
+        return silver_from_bronze(read, self.stage, columns)
+
+    def _silver_for(self, name: str) -> DataFrame:
+        """What a gold table needs of Silver: from the stored table if there is one, else, for a
+        table that needs few columns, from the joins that give these."""
+        if "silver" in self._stored or name not in _FEW:
+            return self.silver()
+        return self.build_silver(_FEW[name])
 
     def supplier_snapshot(self, day) -> DataFrame:
         records = self.bronze("supplier_data").where(F.col(LOAD_DATE) == F.lit(day))
@@ -116,11 +135,11 @@ class Workspace(Mapping):
         if name in ("dim_meal_period", "dim_waste_reason"):
             return getattr(dims, name)(self.spark)
         if name == "dim_date":
-            return dims.dim_date_covering(self.silver())
+            return dims.dim_date_covering(self._silver_for(name))
         if name in DIMS:
-            return getattr(dims, name)(self.silver())
+            return getattr(dims, name)(self._silver_for(name))
         if name in FACTS:
-            return build_fact(name, self.silver(), self, "all", self.stage)
+            return build_fact(name, self._silver_for(name), self, "all", self.stage)
         raise KeyError(name)
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.operators import clean, quality, silver
+from larder.plans import batch, workspace
 from tests import builders
 
 
@@ -199,3 +200,33 @@ def test_only_the_last_load_of_a_key_counts(spark):
     assert {(r.location_id, r.quantity_wasted, r.waste_reason, str(r.load_date)) for r in found} == {
         ("LOC001", 3.0, "plate waste", "2025-02-02"), (None, 7.0, None, "2025-02-01"),
     }
+
+
+def test_only_the_sides_that_give_a_column_are_joined(spark):
+    rows = [{}, {}, {"menu_item_id": "MI002", "category": None}, {"menu_item_id": None}, {"location_id": "LOC009", "quantity_prepared": 0.0}]
+    feeds = {
+        "production_logs": builders.production(spark, *rows),
+        "waste_logs": builders.waste(spark, {}, {}, {"menu_item_id": "MI002", "quantity_wasted": None}, {"menu_item_id": None}),
+        "menu_data": builders.menu(spark, "MI001", "MI001", "MI002"),
+        "location_data": builders.locations(spark, "LOC001", "LOC002"),
+    }
+    asked = []
+
+    def read(source):
+        asked.append(source)
+        df = feeds[source]
+        return df.select(*(df[c].cast("string").alias(c) for c in df.columns))
+
+    whole = batch.silver_from_bronze(read, lambda df: df, [*workspace._FEW["fact_waste"], "category", "city", "sub_category"])
+    asked.clear()
+    needs = {
+        ("category",): ["production_logs"],
+        ("city", "year"): ["production_logs", "location_data"],
+        ("sub_category", "month"): ["production_logs", "menu_data"],
+        ("waste_cost", "waste_percentage", "menu_item_id"): ["production_logs", "waste_logs"],
+    }
+    for columns, sources in needs.items():
+        found = batch.silver_from_bronze(read, lambda df: df, columns)
+        assert asked == sources
+        asked.clear()
+        assert sorted(found.collect(), key=str) == sorted(whole.select(*columns).collect(), key=str)
