@@ -28,6 +28,9 @@ def waste_to_grain(waste: DataFrame, by_load: bool = False) -> DataFrame:
     if by_load:
         last = F.max(LOAD_DATE).over(Window.partitionBy(*GRAIN))
         causes = causes.withColumn("_last", last).where(F.col("_last") == F.col(LOAD_DATE)).drop("_last")
+    else:
+        # Few rows of a key are left, so they are dealt as they are, and sorted once, not on both sides.
+        causes = causes.repartition(*GRAIN)
     return (
         causes.groupBy(*GRAIN, *load)
         .agg(

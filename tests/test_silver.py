@@ -230,3 +230,12 @@ def test_only_the_sides_that_give_a_column_are_joined(spark):
         assert asked == sources
         asked.clear()
         assert sorted(found.collect(), key=str) == sorted(whole.select(*columns).collect(), key=str)
+
+
+def test_waste_is_sorted_once_for_the_causes_of_a_key(spark, tmp_path):
+    path = str(tmp_path / "waste")
+    builders.waste(spark, {}, {"menu_item_id": "MI002"}).write.parquet(path)
+    plan = silver.waste_to_grain(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    # Causes are dealt by key before they are sorted: below the last exchange nothing is.
+    assert plan.count("Exchange") == 2
+    assert "Sort" not in plan[plan.index("Exchange") :]
