@@ -28,9 +28,10 @@ def _with_key(df: DataFrame, dim: DataFrame, key: str, sk: str, dim_key: str | N
 
 
 def _with_keys(df: DataFrame, dims: Dims, meal: bool = True) -> DataFrame:
+    # The menu first: where it is too large to be broadcast, no other key is shuffled for it.
+    df = _with_key(df, dims["dim_menu"], "menu_item_id", "menu_sk")
     df = _with_date_key(df, dims)
     df = _with_key(df, dims["dim_location"], "location_id", "location_sk")
-    df = _with_key(df, dims["dim_menu"], "menu_item_id", "menu_sk")
     if meal:
         df = _with_key(
             df, dims["dim_meal_period"], "meal_period", "meal_period_sk", "meal_period_name"

@@ -69,28 +69,34 @@ def run_bronze(
         bronze.land(spark, raw, source, paths.bronze, run_date, batch_id, ingested_at)
 
 
-def silver_from_bronze(read, stage, columns: Iterable[str] = SILVER.names) -> DataFrame:
-    """``read(source)`` gives a Bronze feed; ``stage`` stores an intermediate. Of the sides only
-    those are joined that give one of ``columns``: no side changes the rows of production."""
+def _sides(read, stage, waste_grain, columns: Iterable[str]) -> list[DataFrame | None]:
+    """The sides of production that give one of ``columns``: no side changes its rows."""
     wanted = set(columns)
 
     def side(names: Iterable[str], build) -> DataFrame | None:
         return None if wanted.isdisjoint(names) else build()
 
-    return silver.build_silver(
-        clean.clean_production(read("production_logs")),
-        side(silver.OF_WASTE, lambda: silver.waste_to_grain(clean.clean_waste(read("waste_logs")))),
+    return [
+        side(silver.OF_WASTE, waste_grain),
         side(silver.OF_MENU, lambda: stage(silver.menu_lookup(clean.clean_menu(read("menu_data"))))),
         side(silver.OF_LOCATION, lambda: stage(silver.location_lookup(clean.clean_location(read("location_data"))))),
-    ).select(*columns)
+    ]
+
 
+def silver_from_bronze(read, stage, columns: Iterable[str] = SILVER.names) -> DataFrame:
+    """``read(source)`` gives a Bronze feed; ``stage`` stores an intermediate. Of the sides only
+    those are joined that give one of ``columns``."""
+    production = clean.clean_production(read("production_logs"))
+    sides = _sides(read, stage, lambda: silver.waste_to_grain(clean.clean_waste(read("waste_logs"))), columns)
+    return silver.build_silver(production, *sides).select(*columns)
 
-def silver_of_months(read, months: DataFrame, stage) -> DataFrame:
+
+def silver_of_months(read, months: DataFrame, stage, columns: Iterable[str] = SILVER.names) -> DataFrame:
     """Silver of the months (``year``, ``month``) from all load dates of the logs.
 
     A production key has the record of the last load that holds one; its waste is that of the
     last load with any for the key, if not earlier. So a month may arrive in several loads, and
-    a later load corrects what it holds.
+    a later load corrects what it holds. Only the sides that give one of ``columns`` are joined.
     """
 
     def of_months(source: str, cleaned) -> DataFrame:
@@ -98,12 +104,9 @@ def silver_of_months(read, months: DataFrame, stage) -> DataFrame:
         within = (F.col("_y") == months["year"]) & (F.col("_m") == months["month"])
         return dated.join(months, within, "left_semi").drop("_y", "_m")
 
-    return silver.build_silver(
-        silver.latest_loads(of_months("production_logs", clean.clean_production)),
-        silver.waste_to_grain(of_months("waste_logs", clean.clean_waste), by_load=True),
-        stage(silver.menu_lookup(clean.clean_menu(read("menu_data")))),
-        stage(silver.location_lookup(clean.clean_location(read("location_data")))),
-    )
+    production = silver.latest_loads(of_months("production_logs", clean.clean_production))
+    waste = lambda: silver.waste_to_grain(of_months("waste_logs", clean.clean_waste), by_load=True)
+    return silver.build_silver(production, *_sides(read, stage, waste, columns)).select(*columns)
 
 
 LOGS = ("production_logs", "waste_logs")

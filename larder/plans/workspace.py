@@ -29,10 +29,17 @@ _FEW = {
     "dim_category": ("category",),
     "dim_location": ("date", "location_id", *LOCATION_ATTRIBUTES),
     "dim_menu": ("date", "menu_item_id", *MENU_ATTRIBUTES),
+    "fact_production": (*GRAIN, "quantity_prepared", "cost_per_unit", "batch_id", *PARTITIONS),
+    "fact_consumption": (
+        *GRAIN, "quantity_prepared", "quantity_wasted", "quantity_consumed", "demand_gap", *PARTITIONS,
+    ),
     "fact_waste": (*GRAIN, "waste_reason", "quantity_wasted", "waste_percentage", "waste_cost", *PARTITIONS),
     "fact_waste_summary": ("location_id", "category", "quantity_wasted", "waste_percentage", "waste_cost", *PARTITIONS),
 }
 
+#: What any of the facts needs of Silver.
+_OF_FACTS = tuple(c for c in SILVER.names if any(c in _FEW[name] for name in FACTS))
+
 _open: dict[tuple[str, str], Workspace] = {}
 _lock = threading.RLock()
 
@@ -94,6 +101,13 @@ class Workspace(Mapping):
     def silver(self) -> DataFrame:
         return self._table("silver", self.build_silver)
 
+    def silver_of_facts(self) -> DataFrame:
+        """All rows of Silver with the columns that facts need: for what goes over several facts. Once
+        it is stored, facts are built from it."""
+        if "silver" in self._stored:
+            return self.silver()
+        return self._table("silver_of_facts", lambda: self.build_silver(_OF_FACTS))
+
     def build_silver(self, columns: Iterable[str] = SILVER.names) -> DataFrame:
         def read(source: str) -> DataFrame:
             return self.bronze(source).drop(LOAD_DATE)
@@ -105,6 +119,8 @@ class Workspace(Mapping):
         table that needs few columns, from the joins that give these."""
         if "silver" in self._stored or name not in _FEW:
             return self.silver()
+        if name in FACTS and "silver_of_facts" in self._stored:
+            return self.silver_of_facts()
         return self.build_silver(_FEW[name])
 
     def supplier_snapshot(self, day) -> DataFrame:
@@ -142,6 +158,11 @@ class Workspace(Mapping):
             return build_fact(name, self._silver_for(name), self, "all", self.stage)
         raise KeyError(name)
 
+    def planned(self, name: str) -> DataFrame:
+        """A gold table for one pass over few of its columns: a fact that is not stored is not stored
+        for it, and Spark computes these columns only."""
+        return self.build(name) if name in FACTS and name not in self._stored else self[name]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in DIMS and name not in FACTS:
             raise KeyError(name)
