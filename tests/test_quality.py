@@ -127,3 +127,11 @@ def test_raw_waste_is_not_sorted(spark):
     plan = silver.waste_to_grain(spark.createDataFrame([], kind))._jdf.queryExecution().executedPlan().toString()
     raw = plan[plan.index("functions=[partial_sum"):]
     assert "HashAggregate" in plan and "SortAggregate" not in raw
+
+
+def test_unique_gate_tells_keys_of_one_hash_apart(spark):
+    # Nulls do not enter the hash: only the keys themselves tell these rows apart.
+    rows = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    quality.gate_unique(rows, "x", "y")
+    with pytest.raises(quality.QualityError, match="unique_x_y — 1 rows"):
+        quality.gate_unique(rows.union(rows.limit(1)), "x", "y")

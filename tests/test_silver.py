@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import clean, quality, silver
 from larder.plans import batch, workspace
+from larder.schemas import GRAIN
 from tests import builders
 
 
@@ -239,3 +240,29 @@ def test_waste_is_sorted_once_for_the_causes_of_a_key(spark, tmp_path):
     # Causes are dealt by key before they are sorted: below the last exchange nothing is.
     assert plan.count("Exchange") == 2
     assert "Sort" not in plan[plan.index("Exchange") :]
+
+
+def test_logs_are_dealt_and_sorted_once_for_silver(spark, tmp_path, conf):
+    """The run's Silver shuffles production once and sums of waste twice; the join of the two and the
+    folders by month need neither another shuffle nor another sort of production."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    feeds = {"production_logs": builders.production(spark, {}, {"date": date(2025, 2, 1)}), "waste_logs": builders.waste(spark, {})}
+    for name, df in feeds.items():
+        texts = df.select(*(df[c].cast("string").alias(c) for c in df.columns), F.lit(date(2025, 3, 1)).alias("load_date"))
+        texts.write.parquet(str(tmp_path / name))
+
+    def read(name):
+        return spark.read.parquet(str(tmp_path / name))
+
+    months = spark.createDataFrame([(2025, 1), (2025, 2)], "year int, month int")
+    columns = (*GRAIN, "quantity_prepared", "quantity_wasted", "year", "month")
+    with batch.dealt_once(spark):
+        built = batch.silver_of_months(read, months, lambda df: df, columns, buckets=4)
+        plan = built.sortWithinPartitions("year", "month")._jdf.queryExecution().executedPlan().toString()
+        rows = {(r.quantity_wasted, r.year, r.month) for r in built.collect()}
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan[: plan.index("Scan parquet")].count("Sort [") == 1
+    assert rows == {(20.0, 2025, 1), (0.0, 2025, 2)}
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    plain = batch.silver_of_months(read, months, lambda df: df, columns)
+    assert sorted(plain.collect()) == sorted(built.collect())

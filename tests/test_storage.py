@@ -615,3 +615,24 @@ def test_strip_then_clean_on_landed_text(spark, paths):
     landed = bronze.read_bronze(spark, paths.bronze, "location_data", RUN)
     assert landed.first().manager_name is None
     assert clean.clean_location(landed).count() == 1
+
+
+def test_facts_over_small_dimensions_are_not_shuffled(spark, paths, monkeypatch, conf):
+    """Dimensions too large for Spark's own threshold, but small enough to be sent, leave Silver's layout."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plans, publish = {}, batch.publish
+
+    def spy(spark_, df, path, gate, partition_by, rebalance, **options):
+        plans[options["name"]] = (rebalance, df._jdf.queryExecution().executedPlan().toString())
+        return publish(spark_, df, path, gate, partition_by, rebalance, **options)
+
+    batch.run_bronze(spark, paths, RUN)
+    batch.run_silver(spark, paths, RUN)
+    batch.run_dims(spark, paths, (date(2025, 1, 1), date(2025, 12, 31)))
+    batch.run_supplier(spark, paths, RUN)
+    monkeypatch.setattr(batch, "publish", spy)
+    batch.run_facts(spark, paths)
+    for name in batch.FACT_KEYS:
+        rebalance, plan = plans[name]
+        assert not rebalance and "Exchange hashpartitioning" not in plan
+    assert plans["fact_waste_summary"][0]
