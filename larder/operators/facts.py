@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,12 @@ from larder.schemas import FACTS, GRAIN, UNKNOWN_CATEGORY
 
 Dims = dict[str, DataFrame]
 
+#: The dimension of each surrogate key of a fact.
+DIM_OF = {
+    "date_sk": "dim_date", "location_sk": "dim_location", "menu_sk": "dim_menu", "meal_period_sk": "dim_meal_period",
+    "waste_reason_sk": "dim_waste_reason", "supplier_sk": "dim_supplier", "category_sk": "dim_category",
+}
+
 
 def _with_date_key(df: DataFrame, dims: Dims) -> DataFrame:
     days = dims["dim_date"].select(F.col("full_date").cast("date").alias("date"), "date_sk")
@@ -27,12 +33,16 @@ def _with_key(df: DataFrame, dim: DataFrame, key: str, sk: str, dim_key: str | N
     return df.join(pairs, key, "left")
 
 
-def _with_keys(df: DataFrame, dims: Dims, meal: bool = True) -> DataFrame:
+def _with_keys(df: DataFrame, dims: Dims, columns: Sequence[str]) -> DataFrame:
+    """The keys named in ``columns``. A dimension holds a key once, so a lookup left out changes no rows."""
     # The menu first: where it is too large to be broadcast, no other key is shuffled for it.
-    df = _with_key(df, dims["dim_menu"], "menu_item_id", "menu_sk")
-    df = _with_date_key(df, dims)
-    df = _with_key(df, dims["dim_location"], "location_id", "location_sk")
-    if meal:
+    if "menu_sk" in columns:
+        df = _with_key(df, dims["dim_menu"], "menu_item_id", "menu_sk")
+    if "date_sk" in columns:
+        df = _with_date_key(df, dims)
+    if "location_sk" in columns:
+        df = _with_key(df, dims["dim_location"], "location_id", "location_sk")
+    if "meal_period_sk" in columns:
         df = _with_key(
             df, dims["dim_meal_period"], "meal_period", "meal_period_sk", "meal_period_name"
         )
@@ -40,8 +50,9 @@ def _with_keys(df: DataFrame, dims: Dims, meal: bool = True) -> DataFrame:
 
 
 def fact_production(silver: DataFrame, dims: Dims) -> DataFrame:
-    keyed = _with_keys(silver, dims).withColumn("production_sk", surrogate_key(*GRAIN))
-    return keyed.select(*FACTS["fact_production"].names)
+    columns = FACTS["fact_production"].names
+    keyed = _with_keys(silver, dims, columns).withColumn("production_sk", surrogate_key(*GRAIN))
+    return keyed.select(*columns)
 
 
 def current_suppliers(dim_supplier: DataFrame, pick: str = "all") -> DataFrame:
@@ -62,27 +73,30 @@ def current_suppliers(dim_supplier: DataFrame, pick: str = "all") -> DataFrame:
 def fact_waste(
     silver: DataFrame, dims: Dims, pick: str = "all",
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    columns: Sequence[str] = tuple(FACTS["fact_waste"].names),
 ) -> DataFrame:
     """Rows that have a reason. The supplier key may be null: not every item has one.
 
-    ``stage`` may store the picked suppliers, so that their size is known to the join.
+    ``stage`` may store the picked suppliers, so that their size is known to the join. Keys that
+    ``columns`` leaves out are not looked up; the suppliers are, as they change the rows.
     """
-    keyed = _with_keys(silver.where("waste_reason is not null"), dims)
-    keyed = _with_key(
-        keyed, dims["dim_waste_reason"], "waste_reason", "waste_reason_sk", "waste_reason_name"
-    )
+    keyed = _with_keys(silver.where("waste_reason is not null"), dims, columns)
+    if "waste_reason_sk" in columns:
+        keyed = _with_key(
+            keyed, dims["dim_waste_reason"], "waste_reason", "waste_reason_sk", "waste_reason_name"
+        )
     suppliers = current_suppliers(dims["dim_supplier"], pick)
     if pick != "all":
         suppliers = stage(suppliers)
     keyed = keyed.join(suppliers, "menu_item_id", "left")
     keyed = keyed.withColumn("waste_sk", surrogate_key(*GRAIN, "supplier_sk"))
-    return keyed.select(*FACTS["fact_waste"].names)
+    return keyed.select(*columns)
 
 
 def fact_consumption(silver: DataFrame, dims: Dims) -> DataFrame:
-    keyed = _with_keys(silver, dims, meal=False)
-    keyed = keyed.withColumn("consumption_sk", surrogate_key(*GRAIN))
-    return keyed.select(*FACTS["fact_consumption"].names)
+    columns = FACTS["fact_consumption"].names
+    keyed = _with_keys(silver, dims, columns).withColumn("consumption_sk", surrogate_key(*GRAIN))
+    return keyed.select(*columns)
 
 
 def summarise_waste(silver: DataFrame) -> DataFrame:

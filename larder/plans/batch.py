@@ -89,11 +89,18 @@ def _sides(read, stage, waste_grain, columns: Iterable[str]) -> list[DataFrame |
     ]
 
 
-def silver_from_bronze(read, stage, columns: Iterable[str] = SILVER.names) -> DataFrame:
+def silver_from_bronze(
+    read, stage, columns: Iterable[str] = SILVER.names, year: int | None = None
+) -> DataFrame:
     """``read(source)`` gives a Bronze feed; ``stage`` stores an intermediate. Of the sides only
-    those are joined that give one of ``columns``."""
-    production = clean.clean_production(read("production_logs"))
-    sides = _sides(read, stage, lambda: silver.waste_to_grain(clean.clean_waste(read("waste_logs"))), columns)
+    those are joined that give one of ``columns``. With ``year``, the rows of that year."""
+
+    def of_year(logs: DataFrame) -> DataFrame:
+        return logs if year is None else logs.where(F.year("date") == year)
+
+    production = of_year(clean.clean_production(read("production_logs")))
+    waste = lambda: silver.waste_to_grain(of_year(clean.clean_waste(read("waste_logs"))))
+    sides = _sides(read, stage, waste, columns)
     return silver.build_silver(production, *sides).select(*columns)
 
 

@@ -87,14 +87,14 @@ def item_totals(gold: Gold, year: int, month_lo: int = 1, month_hi: int = 12) ->
 
 
 def top_menu_items(
-    gold: Gold, year: int, month_lo: int = 1, month_hi: int = 12, n: int = 10
+    gold: Gold, year: int, month_lo: int = 1, month_hi: int = 12, n: int = 10, stage: Stage = lambda df: df
 ) -> DataFrame:
     """Items with the n highest waste costs; equal costs share a rank, without gaps.
 
     The n highest distinct costs come from a distributed top-n; only those n rows are
-    numbered, and items are matched to them.
+    numbered, and items are matched to them. ``stage`` may store the items, which are read twice.
     """
-    items = item_totals(gold, year, month_lo, month_hi)
+    items = stage(item_totals(gold, year, month_lo, month_hi))
     highest = items.select("cost").distinct().orderBy(F.desc("cost")).limit(n)
     ranks = highest.withColumn("waste_rank", F.row_number().over(Window.orderBy(F.desc("cost"))))
     return items.join(F.broadcast(ranks), "cost").select(
@@ -200,10 +200,12 @@ def supplier_quality_vs_waste(
     """Every waste row of a current supplier beside the supplier's mean and the overall mean.
 
     Means come from a grouped sum, not from a window over the rows, so a supplier behind
-    most rows is not gathered in one task. ``stage`` may store the supplier side: Spark
-    then knows its size when it plans the join with the fact.
+    most rows is not gathered in one task. ``stage`` may store the rows of the period, which are read
+    twice, and the supplier side: Spark then knows its size when it plans the join with them.
     """
-    rows = in_period(gold["fact_waste"], year, month_lo, month_hi)
+    rows = stage(
+        in_period(gold["fact_waste"], year, month_lo, month_hi).select("supplier_sk", "menu_sk", "waste_percentage")
+    )
     items = gold["dim_menu"].select("menu_sk", "menu_item_name", "category")
     current = gold["dim_supplier"].where("is_current").select(
         "supplier_sk", "supplier_name", "supplier_city", "quality_score"
@@ -219,8 +221,7 @@ def supplier_quality_vs_waste(
     suppliers = stage(current.join(sums, "supplier_sk"))
     overall = suppliers.agg(F.sum("percent").cast("double") / F.sum("rows")).scalar()
     return (
-        rows.select("supplier_sk", "menu_sk", "waste_percentage")
-        .join(suppliers, "supplier_sk")
+        rows.join(suppliers, "supplier_sk")
         .join(items, "menu_sk")
         .select(
             "supplier_name", "supplier_city", "quality_score", "menu_item_name", "category",

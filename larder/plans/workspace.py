@@ -8,18 +8,19 @@ the data folder, so a new session starts afresh.
 from __future__ import annotations
 
 import threading
+from collections import ChainMap
 from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators import clean, dims, scd2
+from larder.operators import clean, dims, facts, scd2
 from larder.plans.batch import Scratch, build_fact, silver_from_bronze
 from larder.schemas import (
     DIMS, FACTS, GRAIN, LOAD_DATE, LOCATION_ATTRIBUTES, MENU_ATTRIBUTES, PARTITIONS, SILVER,
 )
 from larder.sources import bronze, testfeeds
-from larder.sources.tables import read_table, write_partitions
+from larder.sources.tables import read_table, sent_if_small, write_partitions
 
 BATCH_ID = "batch-1998-01-01"
 
@@ -64,7 +65,7 @@ class Workspace(Mapping):
                     rebalance = name in ("silver", "fact_waste_summary") or "silver" not in self._stored
                     write_partitions(df, path, PARTITIONS, rebalance)
                 else:
-                    df.write.mode("overwrite").parquet(path)
+                    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
                 self._stored[name] = (path, df.schema)
             path, schema = self._stored[name]
         return read_table(self.spark, path, schema)
@@ -108,11 +109,11 @@ class Workspace(Mapping):
             return self.silver()
         return self._table("silver_of_facts", lambda: self.build_silver(_OF_FACTS))
 
-    def build_silver(self, columns: Iterable[str] = SILVER.names) -> DataFrame:
+    def build_silver(self, columns: Iterable[str] = SILVER.names, year: int | None = None) -> DataFrame:
         def read(source: str) -> DataFrame:
             return self.bronze(source).drop(LOAD_DATE)
 
-        return silver_from_bronze(read, self.stage, columns)
+        return silver_from_bronze(read, self.stage, columns, year)
 
     def _silver_for(self, name: str) -> DataFrame:
         """What a gold table needs of Silver: from the stored table if there is one, else, for a
@@ -155,14 +156,30 @@ class Workspace(Mapping):
         if name in DIMS:
             return getattr(dims, name)(self._silver_for(name))
         if name in FACTS:
-            return build_fact(name, self._silver_for(name), self, "all", self.stage)
+            return build_fact(name, self._silver_for(name), self.lookups(FACTS[name].names), "all", self.stage)
         raise KeyError(name)
 
+    def lookups(self, columns: Iterable[str]) -> dict[str, DataFrame]:
+        """The stored dimensions that give the surrogate keys in ``columns``."""
+        wanted = [facts.DIM_OF[c] for c in columns if c in facts.DIM_OF]
+        return {name: sent_if_small(self[name]) for name in wanted}
+
     def planned(self, name: str) -> DataFrame:
         """A gold table for one pass over few of its columns: a fact that is not stored is not stored
         for it, and Spark computes these columns only."""
         return self.build(name) if name in FACTS and name not in self._stored else self[name]
 
+    def waste_of(self, year: int, *columns: str) -> Mapping[str, DataFrame]:
+        """The gold tables for a question about one year that needs few columns of the waste: unless it is
+        stored, it is planned with these and that year, and other dimensions are not built for it."""
+        if "fact_waste" in self._stored:
+            return self
+        tables = self.lookups([*columns, "supplier_sk"])
+        stored = {"silver", "silver_of_facts"} & self._stored.keys()
+        source = self._silver_for("fact_waste") if stored else self.build_silver(_FEW["fact_waste"], year)
+        waste = facts.fact_waste(source.where(F.col("year") == year), tables, stage=self.stage, columns=columns)
+        return ChainMap({"fact_waste": waste}, tables, self)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in DIMS and name not in FACTS:
             raise KeyError(name)

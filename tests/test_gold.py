@@ -1,5 +1,5 @@
 import os
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -354,3 +354,53 @@ def test_reports_over_facts_store_neither_silver_nor_facts(spark):
         opened = workspace.Workspace(spark, SF_DIR)
         registry.BUILDERS[name](opened)
         assert not {"silver", *FACTS} & set(opened._stored), name
+
+
+def _driver_tables(spark, folder):
+    """Few rows of the driver's tables, with one part that two suppliers carry."""
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(0, "R")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "N1", 0), (2, "N2", 0)]),
+        "customer": ("c_custkey long, c_nationkey int", [(1, 1), (2, 2)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double", [(8, "S8", 1, 5.0), (9, "S9", 1, 6.0), (2, "S2", 2, 7.0)]),
+        "part": (
+            "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+            [(8, "eight", "B", "SMALL", 3, 10.0), (2, "two", "B", "LARGE", 4, 20.0), (5, "five", "B", "PROMO", 4, 30.0)],
+        ),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+            [(k, 1 + k % 2, "F", datetime(1996 + k % 2, 1 + k % 3, 5), f"{1 + k % 5}-X") for k in range(12)],
+        ),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string",
+            [(k, p, 8, p % 4, 10.0 + k, 0.05 * (1 + k % 2), 0.01, "R" if k % 4 else "N") for k in range(12) for p in (8, 2, 5)],
+        ),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_marts_of_few_columns_store_no_fact(spark, tmp_path):
+    """Neither the waste fact nor the dimensions that the question does not show are built for it."""
+    folder = _driver_tables(spark, tmp_path)
+    for query, columns in (("top_menu_items", registry.ITEM_COLUMNS), ("supplier_quality_vs_waste", registry.SUPPLIER_COLUMNS)):
+        w = workspace.Workspace(spark, folder)
+        found = sorted(map(str, registry.BUILDERS[query](w).collect()))
+        assert found and not {"fact_waste", "silver", "dim_date", "dim_location"} & w._stored.keys()
+        few = sorted(map(str, w.waste_of(registry.YEAR, *columns)["fact_waste"].collect()))
+        whole = w["fact_waste"].where(F.col("year") == registry.YEAR)
+        assert few and few == sorted(map(str, whole.select(*columns).collect()))
+        assert found == sorted(map(str, registry.BUILDERS[query](w).collect()))
+        w.stage.drop()
+
+
+def test_feeds_do_not_shuffle_rows_for_the_parts(spark, tmp_path, conf):
+    """A table of parts above Spark's own threshold, but small enough to be sent: the rows of the logs
+    are shuffled for orders and keys only."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    folder = _driver_tables(spark, tmp_path)
+    orders = testfeeds.order_keys(spark, folder)
+    for feed in (testfeeds.production_logs, testfeeds.waste_logs):
+        plan = feed(spark, folder, orders)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(l_partkey" not in plan
