@@ -49,6 +49,12 @@ def sent_if_small(lookup: DataFrame) -> DataFrame:
     return F.broadcast(lookup) if lookup.count() <= MOST_SENT else lookup
 
 
+def sent_or_merged(lookup: DataFrame) -> DataFrame:
+    """As ``sent_if_small``, but a larger lookup is never broadcast. Spark goes by the size of the packed
+    files: 13 MB of them can be 600 MB in every executor."""
+    return lookup.hint("broadcast" if lookup.count() <= MOST_SENT else "merge")
+
+
 def _check_columns(df: DataFrame, partition_by: Sequence[str], name: str) -> None:
     missing = [c for c in partition_by if c not in df.columns]
     if missing:

@@ -6,17 +6,21 @@ work to do.
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.schemas import SOURCES
-from larder.sources.tables import sent_if_small
+from larder.sources.tables import sent_if_small, sent_or_merged
 
 FIRST_LOAD = date(1995, 1, 1)
 SECOND_LOAD = date(1998, 1, 1)
 
+#: Order lines that one task sums to production.
+LINES_OF_TASK = 250_000
+
 # Fixed values of the mapping.
 CATEGORY_OF_TYPE = {
     "ECONOMY": "Salads", "SMALL": "Dairy", "MEDIUM": "Main Course", "PROMO": "Starter",
@@ -138,15 +142,18 @@ def production_logs(
     spark: SparkSession, sf_dir: str, orders: DataFrame, status_other_than: str | None = None
 ) -> DataFrame:
     """``orders`` are the stored order keys; ``status_other_than`` leaves out the orders of
-    one status (the orphan case)."""
+    one status (the orphan case). Hardly two lines share a key, so summing before the shuffle would
+    hold all lines of a split: they are dealt by key first, over tasks in number as the lines."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax"
     )
     if status_other_than:
         orders = orders.where(F.col("o_orderstatus") != status_other_than)
-    sales = lines.join(orders, "l_orderkey")
+    sales = lines.join(sent_or_merged(orders), "l_orderkey")
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(lines.count() / LINES_OF_TASK))
+    key = ["date", "c_nationkey", "l_partkey", "meal_period"]
     quantity = F.col("l_quantity")
-    logs = sales.groupBy("date", "c_nationkey", "l_partkey", "meal_period").agg(
+    logs = sales.repartition(tasks, *key).groupBy(*key).agg(
         _cents(quantity).alias("quantity_prepared"),
         _cents(quantity * (1 + F.col("l_tax"))).alias("planned_quantity"),
         _cents(quantity * (1 - F.col("l_discount"))).alias("actual_served_estimate"),
@@ -175,7 +182,7 @@ def waste_logs(
     )
     share = F.col("l_discount") * (1 + F.col("c_nationkey") % 10)
     wasted = F.col("l_quantity") * F.least(F.lit(1.0), share)
-    events = lines.join(orders, "l_orderkey")
+    events = lines.join(sent_or_merged(orders), "l_orderkey")
     named = events.join(_parts(spark, sf_dir), "l_partkey").join(_nations(spark, sf_dir), "c_nationkey")
     ready = named.withColumns(
         {
