@@ -19,7 +19,7 @@ from larder.plans.batch import Scratch, build_fact, silver_from_bronze
 from larder.schemas import (
     DIMS, FACTS, GRAIN, LOAD_DATE, LOCATION_ATTRIBUTES, MENU_ATTRIBUTES, PARTITIONS, SILVER,
 )
-from larder.sources import bronze, testfeeds
+from larder.sources import bronze, files, testfeeds
 from larder.sources.tables import read_table, sent_if_small, write_partitions
 
 BATCH_ID = "batch-1998-01-01"
@@ -54,6 +54,7 @@ class Workspace(Mapping):
         self.stage = Scratch(spark)
         self._stored: dict[str, tuple[str, object]] = {}
         self._done: dict[object, object] = {}
+        self._silvers: dict[str, tuple[frozenset[str], int | None]] = {}
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         with _lock:
@@ -102,12 +103,32 @@ class Workspace(Mapping):
     def silver(self) -> DataFrame:
         return self._table("silver", self.build_silver)
 
-    def silver_of_facts(self) -> DataFrame:
-        """All rows of Silver with the columns that facts need: for what goes over several facts. Once
-        it is stored, facts are built from it."""
+    def silver_with(self, columns: Iterable[str], year: int | None = None) -> DataFrame:
+        """All rows of Silver, or those of one year, with some of its columns: for what reads them more than
+        once. They are stored once, and gold tables that need no others are built from them."""
+        columns = tuple(columns)
+        with _lock:
+            if (found := self._stored_silver(columns, year)) is not None:
+                return found.select(*columns)
+            name = files.new_name("silver")
+            found = self._table(name, lambda: self.build_silver(columns, year))
+            self._silvers[name] = (frozenset(columns), year)
+            return found
+
+    def _stored_silver(self, columns: Iterable[str], year: int | None = None) -> DataFrame | None:
+        """Stored rows of Silver, of one year or all, that have these columns; None if there are none."""
         if "silver" in self._stored:
-            return self.silver()
-        return self._table("silver_of_facts", lambda: self.build_silver(_OF_FACTS))
+            found = self.silver()
+            return found if year is None else found.where(F.col("year") == year)
+        for name, (held, of_year) in self._silvers.items():
+            if held.issuperset(columns) and (of_year == year or of_year is None and "date" in held):
+                found = self._table(name, lambda: None)
+                return found if of_year == year else found.where(F.year("date") == year)
+        return None
+
+    def silver_of_facts(self, year: int | None = None) -> DataFrame:
+        """All rows of Silver, or those of one year, with the columns that facts need."""
+        return self.silver_with(_OF_FACTS, year)
 
     def build_silver(self, columns: Iterable[str] = SILVER.names, year: int | None = None) -> DataFrame:
         def read(source: str) -> DataFrame:
@@ -115,14 +136,17 @@ class Workspace(Mapping):
 
         return silver_from_bronze(read, self.stage, columns, year)
 
-    def _silver_for(self, name: str) -> DataFrame:
-        """What a gold table needs of Silver: from the stored table if there is one, else, for a
-        table that needs few columns, from the joins that give these."""
-        if "silver" in self._stored or name not in _FEW:
+    def columns_for(self, name: str) -> tuple[str, ...]:
+        """What a gold table reads of Silver."""
+        return _FEW.get(name, tuple(SILVER.names))
+
+    def silver_for(self, name: str) -> DataFrame:
+        """What a gold table needs of Silver: from a stored table that has it, else, for a table that
+        needs few columns, from the joins that give these."""
+        if name not in _FEW:
             return self.silver()
-        if name in FACTS and "silver_of_facts" in self._stored:
-            return self.silver_of_facts()
-        return self.build_silver(_FEW[name])
+        found = self._stored_silver(_FEW[name])
+        return self.build_silver(_FEW[name]) if found is None else found
 
     def supplier_snapshot(self, day) -> DataFrame:
         records = self.bronze("supplier_data").where(F.col(LOAD_DATE) == F.lit(day))
@@ -152,11 +176,11 @@ class Workspace(Mapping):
         if name in ("dim_meal_period", "dim_waste_reason"):
             return getattr(dims, name)(self.spark)
         if name == "dim_date":
-            return dims.dim_date_covering(self._silver_for(name))
+            return dims.dim_date_covering(self.silver_for(name))
         if name in DIMS:
-            return getattr(dims, name)(self._silver_for(name))
+            return getattr(dims, name)(self.silver_for(name))
         if name in FACTS:
-            return build_fact(name, self._silver_for(name), self.lookups(FACTS[name].names), "all", self.stage)
+            return build_fact(name, self.silver_for(name), self.lookups(FACTS[name].names), "all", self.stage)
         raise KeyError(name)
 
     def lookups(self, columns: Iterable[str]) -> dict[str, DataFrame]:
@@ -175,11 +199,27 @@ class Workspace(Mapping):
         if "fact_waste" in self._stored:
             return self
         tables = self.lookups([*columns, "supplier_sk"])
-        stored = {"silver", "silver_of_facts"} & self._stored.keys()
-        source = self._silver_for("fact_waste") if stored else self.build_silver(_FEW["fact_waste"], year)
+        source = self._stored_silver(_FEW["fact_waste"], year)
+        if source is None:
+            source = self.build_silver(_FEW["fact_waste"], year)
         waste = facts.fact_waste(source.where(F.col("year") == year), tables, stage=self.stage, columns=columns)
         return ChainMap({"fact_waste": waste}, tables, self)
 
+    def of_year(self, year: int, *names: str) -> Mapping[str, DataFrame]:
+        """The gold tables for a question about one year: of the named facts, those that are not stored are
+        planned over the rows of that year, which are stored once with the columns that facts need."""
+        wanted = [name for name in names if name not in self._stored]
+        if not wanted:
+            return self
+        source = self.silver_of_facts(year)
+
+        def fact(name: str) -> DataFrame:
+            built = build_fact(name, source, self.lookups(FACTS[name].names), "all", self.stage)
+            # The summary is few rows, which marts read several times.
+            return self._table(f"{name}_{year}", lambda: built) if name == "fact_waste_summary" else built
+
+        return ChainMap({name: fact(name) for name in wanted}, self)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in DIMS and name not in FACTS:
             raise KeyError(name)
